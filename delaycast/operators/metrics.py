@@ -20,39 +20,63 @@ LOG_EPSILON = 1e-15
 RECOMPUTE_BYTES = 256 * 1024 * 1024
 
 
-def roc_auc(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
-    """Exact area under the ROC curve per group, as the tie-corrected rank statistic.
+def classifier_metrics(
+    df: DataFrame, label: str, score: str, by: list[str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
+    """Precision, recall, accuracy, f1, log loss and exact ROC-AUC of scores, per group or overall.
+
+    ``by`` columns must be few-valued (a trial number, a split name) and never NULL.
 
-    Rows are first reduced to (score, positives, negatives). Those are split into score ranges of
-    even size; within a range negatives are counted below each score, and the few range totals
-    then shift whole ranges. No window ever spans all scores.
+    Every metric is a function of the (score, positives, negatives) counts, so rows are reduced to
+    those first and read no further. The area is the tie-corrected rank statistic: scores are cut
+    into ranges of even size, negatives are counted below each score within its range, and the
+    few range totals then shift whole ranges. No window ever spans all scores.
     """
-    positive = F.col(label) == 1
-    groups = (
-        df.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-        .groupBy(*by, score)
+    by = by or []
+    groups = _score_groups(df, label, score, by)
+    pos, neg = F.col("pos"), F.col("neg")
+    flagged = F.col("score") >= threshold
+    clipped = F.greatest(F.least("score", F.lit(1 - LOG_EPSILON)), F.lit(LOG_EPSILON))
+    in_range = Window.partitionBy(*by, "range").orderBy("score")
+    below = F.sum("neg").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - neg
+    ranges = (
+        _score_ranges(groups, "score")
+        .withColumn("won", pos * (below + neg / 2))
+        .groupBy(*by, "range")
         .agg(
-            F.count_if(positive).cast("double").alias("pos"),
-            F.count_if(~positive).cast("double").alias("neg"),
+            F.sum("pos").alias("pos"),
+            F.sum("neg").alias("neg"),
+            F.sum("won").alias("won"),
+            F.sum(F.when(flagged, pos).otherwise(0.0)).alias("tp"),
+            F.sum(F.when(flagged, neg).otherwise(0.0)).alias("fp"),
+            F.sum(-pos * F.log(clipped) - neg * F.log(1 - clipped)).alias("loss"),
         )
     )
-    groups = settle_if_large(groups, "score-groups", plan_bytes(df), RECOMPUTE_BYTES).frame
-    ranged = _score_ranges(groups, score)
-
-    in_range = Window.partitionBy(*by, "range").orderBy(score)
-    below = F.sum("neg").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - F.col("neg")
-    totals = (
-        ranged.withColumn("pairs", F.col("pos") * (below + F.col("neg") / 2))
-        .groupBy(*by, "range")
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"), F.sum("pairs").alias("pairs"))
-    )
     # One row per range from here on.
     lower_ranges = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    negatives_below = F.sum("neg").over(lower_ranges) - F.col("neg")
-    won = totals.withColumn("won", F.col("pairs") + F.col("pos") * negatives_below)
-    return won.groupBy(*by).agg(
-        F.try_divide(F.sum("won"), F.sum("pos") * F.sum("neg")).alias("roc_auc")
+    shifted = ranges.withColumn("won", F.col("won") + pos * (F.sum("neg").over(lower_ranges) - neg))
+    sums = shifted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "won", "tp", "fp", "loss")])
+    tp, fp, rows = F.col("tp"), F.col("fp"), pos + neg
+    return sums.select(
+        *by,
+        F.try_divide(tp, tp + fp).alias("precision"),
+        F.try_divide(tp, pos).alias("recall"),
+        F.try_divide(tp + neg - fp, rows).alias("accuracy"),
+        F.try_divide(2 * tp, tp + fp + pos).alias("f1_score"),
+        F.try_divide(F.col("loss"), rows).alias("log_loss"),
+        F.try_divide(F.col("won"), pos * neg).alias("roc_auc"),
+    )
+
+
+def _score_groups(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
+    """Positives and negatives per distinct score, combined before the shuffle."""
+    scored = df.select(*by, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
+    scored = scored.where("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
+    groups = scored.groupBy(*by, "score").agg(
+        F.sum((F.col("label") == 1).cast("double")).alias("pos"),
+        F.sum((F.col("label") != 1).cast("double")).alias("neg"),
     )
+    return settle_if_large(groups, "score-groups", plan_bytes(scored), RECOMPUTE_BYTES).frame
 
 
 def _score_ranges(groups: DataFrame, score: str) -> DataFrame:
@@ -65,41 +89,6 @@ def _score_ranges(groups: DataFrame, score: str) -> DataFrame:
     return Bucketizer(inputCol=score, outputCol="range", splits=splits).transform(groups)
 
 
-def classifier_metrics(
-    df: DataFrame, label: str, score: str, by: list[str] | None = None, threshold: float = THRESHOLD
-) -> DataFrame:
-    """Precision, recall, accuracy, f1, log loss and ROC-AUC of scores, per group or overall.
-
-    ``by`` columns must be few-valued (a trial number, a split name) and never NULL.
-    """
-    by = by or []
-    scored = df.select(*by, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
-    scored = scored.where("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
-    predicted = F.col("score") >= threshold
-    actual = F.col("label") == 1
-    clipped = F.greatest(F.least("score", F.lit(1 - LOG_EPSILON)), F.lit(LOG_EPSILON))
-    counts = scored.groupBy(*by).agg(
-        F.count_if(predicted & actual).cast("double").alias("tp"),
-        F.count_if(predicted & ~actual).cast("double").alias("fp"),
-        F.count_if(~predicted & actual).cast("double").alias("fn"),
-        F.count(F.lit(1)).cast("double").alias("n"),
-        F.avg(-F.when(actual, F.log(clipped)).otherwise(F.log(1 - clipped))).alias("log_loss"),
-    )
-    tp, fp, fn, n = (F.col(c) for c in ("tp", "fp", "fn", "n"))
-    basic = counts.select(
-        *by,
-        F.try_divide(tp, tp + fp).alias("precision"),
-        F.try_divide(tp, tp + fn).alias("recall"),
-        F.try_divide(n - fp - fn, n).alias("accuracy"),
-        F.try_divide(2 * tp, 2 * tp + fp + fn).alias("f1_score"),
-        "log_loss",
-    )
-    if by:
-        return basic.join(roc_auc(scored, "label", "score", by), by, "left")
-    area = roc_auc(scored, "label", "score", [])
-    return basic.withColumn("roc_auc", area.scalar())
-
-
 def best_trial(evaluation: DataFrame) -> DataFrame:
     """The row with the largest ROC-AUC; the lowest trial number wins ties, missing areas lose."""
     return evaluation.orderBy(F.desc_nulls_last("roc_auc"), "trial_id").limit(1)

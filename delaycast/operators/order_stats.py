@@ -22,15 +22,17 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row ``p0, p1, ...``: exact percentiles with linear interpolation; NULL and NaN ignored.
 
-    A built-in ``percentile`` keeps every distinct value in one buffer, so it is used only when a
-    distinct count says they are few. Otherwise each percentile's two neighbouring order
-    statistics are bracketed ever more narrowly, a scan per round, until few values remain.
+    A ``percentile`` keeps every distinct value in one buffer, so it is used only when a distinct
+    count says they are few, and on value counts, so that one task never receives more than the
+    distinct values. Otherwise each percentile's two neighbouring order statistics are bracketed
+    ever more narrowly, a scan per round, until few values remain.
     """
     values = df.select(nan_to_null(F.col(column).cast("double")).alias("v")).where("v IS NOT NULL")
     size = values.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("d")).first()
     if size.d <= distinct_limit:
+        counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        found = values.agg(F.percentile("v", wanted).alias("p"))
+        found = counts.agg(F.percentile("v", wanted, F.col("n")).alias("p"))
         return found.select(*[F.get("p", F.lit(i)).alias(f"p{i}") for i in range(len(probabilities))])
     exact = _bracketed_percentiles(values, size.n, probabilities, distinct_limit)
     schema = ", ".join(f"p{i} double" for i in range(len(exact)))

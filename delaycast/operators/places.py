@@ -47,18 +47,26 @@ def stacked_cities(flights: DataFrame, *carry: str) -> DataFrame:
 
 
 def distinct_cities(flights: DataFrame) -> DataFrame:
-    """Each city once, in no particular order."""
-    return stacked_cities(flights).select("city").distinct()
+    """Each city once, in no particular order. Routes are made distinct before they are stacked."""
+    return stacked_cities(flights.select("dep_city", "arr_city").distinct()).select("city").distinct()
 
 
 def distinct_cities_first_seen(flights: DataFrame, row_key: str) -> DataFrame:
     """Each city once with where it first occurs: departures by row key first, then arrivals.
 
-    Sorting by ``(side, first_key)`` gives the order of first occurrence.
+    Sorting by ``(side, first_key)`` gives the order of first occurrence. Flights are reduced to
+    routes before the two ends are stacked.
     """
-    first = F.min(F.struct("side", row_key)).alias("first")
-    cities = stacked_cities(flights, row_key).groupBy("city").agg(first)
-    return cities.select("city", F.col("first.side").alias("side"), F.col(f"first.{row_key}").alias("first_key"))
+    routes = flights.groupBy("dep_city", "arr_city").agg(F.min(row_key).alias("key"))
+    cities = stacked_cities(routes, "key").groupBy("city").agg(
+        F.min(F.when(F.col("side") == 0, F.col("key"))).alias("departure"),
+        F.min(F.when(F.col("side") == 1, F.col("key"))).alias("arrival"),
+    )
+    return cities.select(
+        "city",
+        F.when(F.col("departure").isNotNull(), 0).otherwise(1).alias("side"),
+        F.coalesce("departure", "arrival").alias("first_key"),
+    )
 
 
 def weather_cities(flights: DataFrame) -> DataFrame:

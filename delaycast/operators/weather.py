@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from delaycast.operators.columns import prefix_columns
 from delaycast.operators.lookup import left_lookup
-from delaycast.operators.sizing import Sized, sized
+from delaycast.operators.sizing import Sized, plan_bytes, sized
 from delaycast.schemas import WEATHER_KEYS
 
 DEPARTURE = "dep"
@@ -55,7 +55,9 @@ def weather_join(
         frame = latest_weather(frame)
     payload = [c for c in frame.columns if c not in WEATHER_KEYS] if columns is None else columns
     frame = prefix_columns(frame.select(*WEATHER_KEYS, *payload), f"{role}_", payload)
-    return left_lookup(flights, Sized(frame, side.size), role_keys(keys_of or role), limit, profile)
+    # Two upper bounds: the table's own, and the plan's with only the chosen columns.
+    size = min(side.size, plan_bytes(frame))
+    return left_lookup(flights, Sized(frame, size), role_keys(keys_of or role), limit, profile)
 
 
 def dual_role_weather(

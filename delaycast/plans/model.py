@@ -10,7 +10,7 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaycast.operators.metrics import PROMOTE, classifier_metrics, metric_gate
@@ -44,8 +44,9 @@ def train_eval_split(df: DataFrame, *keys: str, percent: int = EVAL_PERCENT, nam
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """``label, n, weight`` with weight = rows / (classes * rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    overall = counts.agg(F.sum("n").cast("double").alias("rows"), F.count(F.lit(1)).alias("classes"))
-    balanced = overall.select((F.col("rows") / F.col("classes")).alias("balanced")).scalar()
+    # One row per class from here on.
+    every_class = Window.partitionBy()
+    balanced = F.sum("n").over(every_class) / F.count(F.lit(1)).over(every_class)
     return counts.select(label, "n", (balanced / F.col("n")).alias("weight"))
 
 

@@ -132,7 +132,8 @@ def weather(spark: SparkSession, sf_dir: str) -> Sized:
         F.max("value").alias("high"),
         F.round(F.avg("value"), 6).alias("mean"),
         F.count(F.lit(1)).alias("n"),
-        F.min("event_type").alias("kind"),
+        # The smaller of the two kinds, as a flag: text minima would need a sort.
+        F.when(F.bool_or(F.col("event_type") == "error"), "error").otherwise("view").alias("kind"),
     )
     columns = forecast_columns(*[F.col(c) for c in ("first", "last", "low", "high", "mean", "n", "kind", "dt_txt")])
     rows = grouped.select("station", "dt_txt", *[column.alias(name) for name, column in columns.items()])

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from delaycast.functions.labels import delay_label
 from delaycast.operators.metrics import best_trial, classifier_metrics, metric_gate
+from delaycast.operators.outliers import iqr_outlier_flag
 from delaycast.plans import model
 from delaycast.plans.features import training_set
 from delaycast.schemas import CATEGORICAL_FEATURES, METRIC_COLUMNS
@@ -106,7 +107,7 @@ SELECT CAST(target AS INTEGER) AS target, count(*) AS n,
        round((SELECT CAST(count(*) AS DOUBLE) / count(DISTINCT target) FROM targets) / count(*), 9) AS weight
 FROM targets GROUP BY target""")
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = adapter.flights(spark, sf_dir).where("outlier = 0")
+    flights = iqr_outlier_flag(adapter.raw_flights(spark, sf_dir), "delayed").where("outlier = 0")
     weights = model.class_weights(flights.select(delay_label(F.col("delayed")).alias("target")))
     return weights.withColumn("weight", F.round("weight", 9))
 
