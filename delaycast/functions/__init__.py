@@ -1 +1 @@
-"""Column expressions. All are built from native functions and stay inside generated code."""
+"""SQL expressions over column names. All are native functions and stay inside generated code."""

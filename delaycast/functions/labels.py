@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
 # Minutes beyond which a flight counts as late, the feed's own minimum delay, and
 # the level that precision, recall and f1 of the best trial must each exceed.
 LATE_MINUTES = 45
@@ -12,6 +9,6 @@ FEED_MINIMUM_DELAY = 30
 GATE_LEVEL = 0.65
 
 
-def delay_label(delayed: Column) -> Column:
-    """1 when the delay exceeds the threshold, else 0; a missing delay counts as 0."""
-    return F.when(delayed > LATE_MINUTES, 1).otherwise(0)
+def delay_label(name: str) -> str:
+    """SQL label: 1 when the delay exceeds the threshold, else 0; a missing delay counts as 0."""
+    return f"CASE WHEN `{name}` > {LATE_MINUTES} THEN 1 ELSE 0 END"

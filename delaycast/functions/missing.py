@@ -1,9 +1,11 @@
-"""The several spellings of "missing" and how each is normalised."""
+"""The several spellings of "missing" and how each is normalised.
+
+Expressions are built as SQL text of column names: one parse instead of a call per operator.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # The token that stands for a missing category in training and serving alike,
@@ -11,17 +13,39 @@ from pyspark.sql import types as T
 NULL_TOKEN = "null"
 JSON_NAN_AS_TEXT = '"NaN"'
 
+_FLOATING = (T.DoubleType, T.FloatType)
+
 
-def is_missing(column: Column, dtype: T.DataType) -> Column:
-    """True for NULL and, on floating types, for NaN."""
-    if isinstance(dtype, (T.DoubleType, T.FloatType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
+def is_missing(df: DataFrame, name: str) -> str:
+    """SQL test for NULL and, on floating types, for NaN."""
+    floating = isinstance(df.schema[name].dataType, _FLOATING)
+    return f"(`{name}` IS NULL OR isnan(`{name}`))" if floating else f"(`{name}` IS NULL)"
 
 
-def nan_to_null(column: Column) -> Column:
+def nan_to_null(name: str) -> str:
     """NaN -> NULL; Spark orders NaN above every number, so it must not reach an aggregate."""
-    return F.when(~F.isnan(column), column)
+    return f"nullif(CAST(`{name}` AS DOUBLE), DOUBLE('NaN'))"
+
+
+def filled(df: DataFrame, name: str, token: str = NULL_TOKEN, number: float = 0.0) -> str:
+    """A column without missing values: the token in text, the number in numeric columns."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, T.StringType):
+        return f"coalesce(`{name}`, '{token}')"
+    value = nan_to_null(name) if isinstance(dtype, T.DoubleType) else f"`{name}`"
+    return f"coalesce({value}, CAST({number} AS {dtype.simpleString()}))"
+
+
+def replace_columns(df: DataFrame, expressions: dict[str, str]) -> DataFrame:
+    """``df`` with the named columns replaced in place and new ones appended, in one projection."""
+    kept = [f"{expressions[c]} AS `{c}`" if c in expressions else f"`{c}`" for c in df.columns]
+    added = [f"{e} AS `{c}`" for c, e in expressions.items() if c not in df.columns]
+    return df.selectExpr(*kept, *added)
+
+
+def fill_missing(df: DataFrame, columns: list[str], token: str = NULL_TOKEN, number: float = 0.0) -> DataFrame:
+    """NULL -> token in string columns, NULL or NaN -> number in numeric ones."""
+    return replace_columns(df, {c: filled(df, c, token, number) for c in columns})
 
 
 def clean_decoded_json(df: DataFrame, description_columns: list[str]) -> DataFrame:
@@ -33,27 +57,9 @@ def clean_decoded_json(df: DataFrame, description_columns: list[str]) -> DataFra
     """
     cleaned = {}
     for field in df.schema:
-        column = F.col(field.name)
         if isinstance(field.dataType, T.DoubleType):
-            cleaned[field.name] = nan_to_null(column)
+            cleaned[field.name] = nan_to_null(field.name)
         elif isinstance(field.dataType, T.StringType):
-            tokens = [JSON_NAN_AS_TEXT]
-            if field.name in description_columns:
-                tokens.append("NaN")
-            cleaned[field.name] = F.when(~column.isin(tokens), column)
-    return df.withColumns(cleaned)
-
-
-def fill_missing(df: DataFrame, columns: list[str], token: str = NULL_TOKEN, number: float = 0.0) -> DataFrame:
-    """NULL -> token in string columns, NULL or NaN -> number in numeric ones."""
-    filled = {}
-    for name in columns:
-        dtype = df.schema[name].dataType
-        column = F.col(name)
-        if isinstance(dtype, T.StringType):
-            filled[name] = F.coalesce(column, F.lit(token))
-        elif isinstance(dtype, (T.DoubleType, T.FloatType)):
-            filled[name] = F.coalesce(nan_to_null(column), F.lit(number).cast(dtype))
-        else:
-            filled[name] = F.coalesce(column, F.lit(number).cast(dtype))
-    return df.withColumns(filled)
+            value = f"nullif(`{field.name}`, '{JSON_NAN_AS_TEXT}')"
+            cleaned[field.name] = f"nullif({value}, 'NaN')" if field.name in description_columns else value
+    return replace_columns(df, cleaned)

@@ -1,4 +1,4 @@
-"""Three-hour forecast slots and minutes of the day.
+"""Three-hour forecast slots and minutes of the day, as SQL expressions of a column name.
 
 Times are wall-clock UTC. Everything is computed on ``timestamp_ntz``, so the session time zone
 and its daylight-saving gaps have no influence.
@@ -6,47 +6,42 @@ and its daylight-saving gaps have no influence.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def slot_3hr(time: Column) -> Column:
+def slot_3hr(name: str) -> str:
     """Key of the nearest forecast slot, judged by the hour alone; ``''`` when the time is missing.
 
     Hour h belongs to slot 3 * ((h + 1) div 3): minutes are ignored and 23 h is midnight of the
-    next calendar day. Accepts a timestamp or text that starts like ``YYYY-MM-DD HH:MM``.
+    next calendar day. Takes a timestamp or text that starts like ``YYYY-MM-DD HH:MM``.
     """
-    at = time.try_cast("timestamp_ntz")
-    slot_hour = (F.floor((F.hour(at) + 1) / 3) * 3).cast("int")
-    slot = F.to_date(at).cast("timestamp_ntz") + F.make_dt_interval(hours=slot_hour)
-    return F.coalesce(slot.cast("string"), F.lit(""))
+    at = f"TRY_CAST(`{name}` AS TIMESTAMP_NTZ)"
+    hours = f"CAST(3 * ((hour({at}) + 1) DIV 3) AS INT)"
+    slot = f"CAST(CAST({at} AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, {hours})"
+    return f"coalesce(CAST({slot} AS STRING), '')"
 
 
-def slot_3hr_compat(time: Column) -> Column:
+def slot_3hr_compat(name: str) -> str:
     """The slot as pure text arithmetic, for comparing with keys that were made that way.
 
     A recomputed hour is not zero-padded and 23 h only raises the day number (no padding, no
     month end), so such keys miss the forecast's padded ones.
     """
-    text = time.cast("string")
-    hour = F.substring(text, 12, 2).try_cast("int")
-    day = F.substring(text, 9, 2).try_cast("int")
-    moved_hour = (F.floor((hour + 1) / 3) * 3).cast("int").cast("string")
-    key = (
-        F.when(hour == 23, F.concat(F.substring(text, 1, 8), (day + 1).cast("string"), F.lit(" 00")))
-        .when(hour % 3 == 0, F.substring(text, 1, 13))
-        .otherwise(F.concat(F.substring(text, 1, 11), moved_hour))
-    )
-    return F.coalesce(F.concat(key, F.lit(":00:00")), F.lit(""))
-
-
-def minutes_of_day(time: Column) -> Column:
+    text = f"CAST(`{name}` AS STRING)"
+    hour = f"TRY_CAST(substring({text}, 12, 2) AS INT)"
+    day = f"TRY_CAST(substring({text}, 9, 2) AS INT)"
+    return f"""coalesce(concat(
+      CASE WHEN {hour} = 23 THEN concat(substring({text}, 1, 8), CAST({day} + 1 AS STRING), ' 00')
+           WHEN {hour} % 3 = 0 THEN substring({text}, 1, 13)
+           ELSE concat(substring({text}, 1, 11), CAST(3 * (({hour} + 1) DIV 3) AS STRING)) END,
+      ':00:00'), '')"""
+
+
+def minutes_of_day(name: str) -> str:
     """Minutes since midnight of a timestamp as a double; 0 when missing."""
-    return F.coalesce((F.hour(time) * 60 + F.minute(time)).cast("double"), F.lit(0.0))
+    return f"coalesce(CAST(hour(`{name}`) * 60 + minute(`{name}`) AS DOUBLE), 0D)"
 
 
-def minutes_of_day_text(time: Column) -> Column:
+def minutes_of_day_text(name: str) -> str:
     """The same from text that starts like ``YYYY-MM-DD HH:MM``; 0 when missing or malformed."""
-    hours = F.substring(time, 12, 2).try_cast("double")
-    minutes = F.substring(time, 15, 2).try_cast("double")
-    return F.coalesce(hours * 60 + minutes, F.lit(0.0))
+    hours = f"TRY_CAST(substring(`{name}`, 12, 2) AS DOUBLE)"
+    minutes = f"TRY_CAST(substring(`{name}`, 15, 2) AS DOUBLE)"
+    return f"coalesce({hours} * 60 + {minutes}, 0D)"

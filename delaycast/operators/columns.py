@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaycast.functions.missing import replace_columns
+
 
 def select_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """The configured columns, in the configured order."""
@@ -20,14 +21,15 @@ def sort_columns(df: DataFrame) -> DataFrame:
 def ensure_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """Add each named column that is absent, as an empty text; leave the others alone."""
     absent = [c for c in columns if c not in df.columns]
-    return df.withColumns({c: F.lit("") for c in absent}) if absent else df
+    return replace_columns(df, {c: "''" for c in absent}) if absent else df
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Exactly the schema's columns, cast to its types; absent ones become NULL."""
-    return df.select(
+    present = set(df.columns)
+    return df.selectExpr(
         *[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            f"CAST({f'`{f.name}`' if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in schema
         ]
     )
@@ -35,10 +37,10 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def prefix_columns(df: DataFrame, prefix: str, columns: list[str]) -> DataFrame:
     """Rename the named columns to ``prefix`` + name."""
-    return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns if c in df.columns})
+    return df.selectExpr(*[f"`{c}` AS `{prefix}{c}`" if c in columns else f"`{c}`" for c in df.columns])
 
 
 def to_numeric(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Cast columns (default: all) to double; text that is no number becomes NULL."""
     chosen = df.columns if columns is None else columns
-    return df.withColumns({c: F.col(c).try_cast("double") for c in chosen})
+    return replace_columns(df, {c: f"TRY_CAST(`{c}` AS DOUBLE)" for c in chosen})

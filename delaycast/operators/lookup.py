@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,8 +10,8 @@ from delaycast.operators.sizing import Sized, fits_broadcast, sized
 
 
 def _all_equal(pairs: list[tuple[str, str]], null_safe: bool = False) -> Column:
-    equal = (F.col(a).eqNullSafe(F.col(b)) if null_safe else F.col(a) == F.col(b) for a, b in pairs)
-    return reduce(lambda x, y: x & y, equal)
+    operator = "<=>" if null_safe else "="
+    return F.expr(" AND ".join(f"`{a}` {operator} `{b}`" for a, b in pairs))
 
 
 def left_lookup(
@@ -53,7 +51,9 @@ def hot_keys(facts: DataFrame, columns: list[str], tasks: int) -> DataFrame:
     counts = facts.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     total = facts.agg(F.count(F.lit(1)).alias("__total")).scalar()
     share = F.col("__n").cast("double") * tasks / total
-    return counts.where(share > 1).select(*columns, F.ceil(share).cast("int").alias("__copies"))
+    return counts.withColumn("__share", share).where("__share > 1").selectExpr(
+        *[f"`{c}`" for c in columns], "CAST(ceil(__share) AS INT) AS __copies"
+    )
 
 
 def _spread_join(
@@ -74,7 +74,7 @@ def _spread_join(
         .withColumn("__salt", F.coalesce(F.pmod(spread, F.col("__copies")), F.lit(0)).cast("int"))
         .drop("__copies", *hot_names.values())
     )
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("__copies"), F.lit(1)) - 1)
+    copies = F.expr("sequence(0, coalesce(__copies, 1) - 1)")
     right = (
         dimension.join(hot, _all_equal([(b, hot_names[a]) for a, b in pairs]), "left")
         .withColumn("__copy", F.explode(copies))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaycast.functions.labels import GATE_LEVEL
@@ -16,7 +16,7 @@ KEEP = "do_nothing"
 THRESHOLD = 0.5
 # Probabilities are kept this far from 0 and 1 in the log loss.
 LOG_EPSILON = 1e-15
-# Score groups below this plan size are recomputed rather than written between their two uses.
+# Score groups whose input is below this size are recomputed rather than written between two uses.
 RECOMPUTE_BYTES = 256 * 1024 * 1024
 
 
@@ -33,48 +33,47 @@ def classifier_metrics(
     few range totals then shift whole ranges. No window ever spans all scores.
     """
     by = by or []
-    groups = _score_groups(df, label, score, by)
-    pos, neg = F.col("pos"), F.col("neg")
-    flagged = F.col("score") >= threshold
-    clipped = F.greatest(F.least("score", F.lit(1 - LOG_EPSILON)), F.lit(LOG_EPSILON))
-    in_range = Window.partitionBy(*by, "range").orderBy("score")
-    below = F.sum("neg").over(in_range.rowsBetween(Window.unboundedPreceding, 0)) - neg
+    partition = ", ".join([*by, "range"])
+    clipped = f"greatest(least(score, {1 - LOG_EPSILON!r}D), {LOG_EPSILON!r}D)"
+    in_range = f"PARTITION BY {partition} ORDER BY score ROWS UNBOUNDED PRECEDING"
+    won = f"pos * (sum(neg) OVER ({in_range}) - neg / 2) AS won"
     ranges = (
-        _score_ranges(groups, "score")
-        .withColumn("won", pos * (below + neg / 2))
+        _score_ranges(_score_groups(df, label, score, by), "score")
+        .selectExpr("*", won)
         .groupBy(*by, "range")
         .agg(
-            F.sum("pos").alias("pos"),
-            F.sum("neg").alias("neg"),
-            F.sum("won").alias("won"),
-            F.sum(F.when(flagged, pos).otherwise(0.0)).alias("tp"),
-            F.sum(F.when(flagged, neg).otherwise(0.0)).alias("fp"),
-            F.sum(-pos * F.log(clipped) - neg * F.log(1 - clipped)).alias("loss"),
+            F.expr("sum(pos) AS pos"),
+            F.expr("sum(neg) AS neg"),
+            F.expr("sum(won) AS won"),
+            F.expr(f"sum(CASE WHEN score >= {threshold}D THEN pos ELSE 0D END) AS tp"),
+            F.expr(f"sum(CASE WHEN score >= {threshold}D THEN neg ELSE 0D END) AS fp"),
+            F.expr(f"sum(-pos * ln({clipped}) - neg * ln(1D - {clipped})) AS loss"),
         )
     )
     # One row per range from here on.
-    lower_ranges = Window.partitionBy(*by).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    shifted = ranges.withColumn("won", F.col("won") + pos * (F.sum("neg").over(lower_ranges) - neg))
-    sums = shifted.groupBy(*by).agg(*[F.sum(c).alias(c) for c in ("pos", "neg", "won", "tp", "fp", "loss")])
-    tp, fp, rows = F.col("tp"), F.col("fp"), pos + neg
-    return sums.select(
+    lower = f"{'PARTITION BY ' + ', '.join(by) if by else ''} ORDER BY range ROWS UNBOUNDED PRECEDING"
+    shifted = ranges.selectExpr(
+        *by, "pos", "neg", "tp", "fp", "loss", f"won + pos * (sum(neg) OVER ({lower}) - neg) AS won"
+    )
+    sums = shifted.groupBy(*by).agg(*[F.expr(f"sum({c}) AS {c}") for c in ("pos", "neg", "won", "tp", "fp", "loss")])
+    return sums.selectExpr(
         *by,
-        F.try_divide(tp, tp + fp).alias("precision"),
-        F.try_divide(tp, pos).alias("recall"),
-        F.try_divide(tp + neg - fp, rows).alias("accuracy"),
-        F.try_divide(2 * tp, tp + fp + pos).alias("f1_score"),
-        F.try_divide(F.col("loss"), rows).alias("log_loss"),
-        F.try_divide(F.col("won"), pos * neg).alias("roc_auc"),
+        "try_divide(tp, tp + fp) AS precision",
+        "try_divide(tp, pos) AS recall",
+        "try_divide(tp + neg - fp, pos + neg) AS accuracy",
+        "try_divide(2 * tp, tp + fp + pos) AS f1_score",
+        "try_divide(loss, pos + neg) AS log_loss",
+        "try_divide(won, pos * neg) AS roc_auc",
     )
 
 
 def _score_groups(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """Positives and negatives per distinct score, combined before the shuffle."""
-    scored = df.select(*by, F.col(label).cast("int").alias("label"), F.col(score).cast("double").alias("score"))
+    scored = df.selectExpr(*by, f"CAST(`{label}` AS INT) AS label", f"CAST(`{score}` AS DOUBLE) AS score")
     scored = scored.where("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
     groups = scored.groupBy(*by, "score").agg(
-        F.sum((F.col("label") == 1).cast("double")).alias("pos"),
-        F.sum((F.col("label") != 1).cast("double")).alias("neg"),
+        F.expr("sum(CASE WHEN label = 1 THEN 1D ELSE 0D END) AS pos"),
+        F.expr("sum(CASE WHEN label = 1 THEN 0D ELSE 1D END) AS neg"),
     )
     return settle_if_large(groups, "score-groups", plan_bytes(scored), RECOMPUTE_BYTES).frame
 
@@ -91,10 +90,10 @@ def _score_ranges(groups: DataFrame, score: str) -> DataFrame:
 
 def best_trial(evaluation: DataFrame) -> DataFrame:
     """The row with the largest ROC-AUC; the lowest trial number wins ties, missing areas lose."""
-    return evaluation.orderBy(F.desc_nulls_last("roc_auc"), "trial_id").limit(1)
+    return evaluation.orderBy(F.expr("roc_auc").desc_nulls_last(), "trial_id").limit(1)
 
 
 def metric_gate(evaluation: DataFrame, level: float = GATE_LEVEL) -> DataFrame:
     """The best trial with ``branch``: promote when precision, recall and f1 all exceed the level."""
-    passed = (F.col("precision") > level) & (F.col("recall") > level) & (F.col("f1_score") > level)
-    return best_trial(evaluation).withColumn("branch", F.when(passed, PROMOTE).otherwise(KEEP))
+    passed = " AND ".join(f"{metric} > {level}D" for metric in ("precision", "recall", "f1_score"))
+    return best_trial(evaluation).selectExpr("*", f"CASE WHEN {passed} THEN '{PROMOTE}' ELSE '{KEEP}' END AS branch")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaycast.functions.missing import nan_to_null
@@ -27,13 +27,13 @@ def exact_percentiles(
     distinct values. Otherwise each percentile's two neighbouring order statistics are bracketed
     ever more narrowly, a scan per round, until few values remain.
     """
-    values = df.select(nan_to_null(F.col(column).cast("double")).alias("v")).where("v IS NOT NULL")
-    size = values.agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("v").alias("d")).first()
+    values = df.selectExpr(f"{nan_to_null(column)} AS v").where("v IS NOT NULL")
+    size = values.selectExpr("count(*) AS n", "approx_count_distinct(v) AS d").first()
     if size.d <= distinct_limit:
-        counts = values.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-        wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        found = counts.agg(F.percentile("v", wanted, F.col("n")).alias("p"))
-        return found.select(*[F.get("p", F.lit(i)).alias(f"p{i}") for i in range(len(probabilities))])
+        counts = values.groupBy("v").agg(F.expr("count(*) AS n"))
+        wanted = ", ".join(f"{float(p)}D" for p in probabilities)
+        found = counts.selectExpr(f"percentile(v, array({wanted}), n) AS p")
+        return found.selectExpr(*[f"p[{i}] AS p{i}" for i in range(len(probabilities))])
     exact = _bracketed_percentiles(values, size.n, probabilities, distinct_limit)
     schema = ", ".join(f"p{i} double" for i in range(len(exact)))
     return df.sparkSession.createDataFrame([tuple(exact)], schema)
@@ -48,16 +48,13 @@ class _Bracket:
     low: float | None = None
     high: float | None = None
 
-    def holds(self) -> Column:
-        inside = F.lit(True)
-        if self.low is not None:
-            inside = inside & (F.col("v") >= self.low)
-        if self.high is not None:
-            inside = inside & (F.col("v") <= self.high)
-        return inside
+    def holds(self) -> str:
+        bounds = [f"v >= DOUBLE('{self.low!r}')"] if self.low is not None else []
+        bounds += [f"v <= DOUBLE('{self.high!r}')"] if self.high is not None else []
+        return " AND ".join(bounds) or "true"
 
-    def below(self) -> Column:
-        return F.lit(False) if self.low is None else F.col("v") < self.low
+    def below(self) -> str:
+        return "false" if self.low is None else f"v < DOUBLE('{self.low!r}')"
 
 
 def _bracketed_percentiles(values: DataFrame, n: int, probabilities: list[float], limit: int) -> list[float]:
@@ -70,16 +67,16 @@ def _bracketed_percentiles(values: DataFrame, n: int, probabilities: list[float]
     while len(results) < len(brackets):
         open_ones = [(i, b) for i, b in enumerate(brackets) if i not in results]
         aggregates = []
+        cells = f"array({', '.join(f'{k / GRID!r}D' for k in range(GRID + 1))})"
         for i, b in open_ones:
-            inside = F.when(b.holds(), F.col("v"))
-            grid = [F.lit(k / GRID) for k in range(GRID + 1)]
+            inside = f"CASE WHEN {b.holds()} THEN v END"
             aggregates += [
-                F.count_if(b.below()).alias(f"below{i}"),
-                F.count(inside).alias(f"inside{i}"),
-                F.approx_count_distinct(inside).alias(f"distinct{i}"),
-                F.percentile_approx(inside, F.array(*grid), ACCURACY).alias(f"grid{i}"),
+                f"count_if({b.below()}) AS below{i}",
+                f"count({inside}) AS inside{i}",
+                f"approx_count_distinct({inside}) AS distinct{i}",
+                f"percentile_approx({inside}, {cells}, {ACCURACY}) AS grid{i}",
             ]
-        row = values.agg(*aggregates).first()
+        row = values.selectExpr(*aggregates).first()
         for i, b in open_ones:
             before, inside, grid = row[f"below{i}"], row[f"inside{i}"], row[f"grid{i}"]
             rank = b.rank - before

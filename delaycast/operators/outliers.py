@@ -28,7 +28,7 @@ def iqr_outlier_flag(
     """
     fence = (
         quartiles(df, column, distinct_limit)
-        .select((F.col("q3") + FENCE_RANGES * (F.col("q3") - F.col("q1"))).alias("fence"))
+        .selectExpr(f"q3 + {FENCE_RANGES}D * (q3 - q1) AS fence")
         .scalar()
     )
-    return df.withColumn(flag, F.when(nan_to_null(F.col(column).cast("double")) > fence, 1).otherwise(0))
+    return df.withColumn(flag, F.when(F.expr(nan_to_null(column)) > fence, 1).otherwise(0))

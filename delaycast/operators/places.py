@@ -22,9 +22,9 @@ def city_lookup(
     ``airports`` has one row per code (columns ``icao``, ``city``).
     """
     side = sized(airports)
-    found = side.frame.select("icao", F.col("city").alias("__city"))
+    found = side.frame.selectExpr("icao", "city AS __city")
     joined = left_lookup(flights, Sized(found, side.size), [(icao, "icao")], limit, profile)
-    return joined.withColumn(city, F.coalesce("__city", F.lit(""))).drop("__city")
+    return joined.withColumn(city, F.expr("coalesce(__city, '')")).drop("__city")
 
 
 def both_cities(flights: DataFrame, airports: DataFrame | Sized, limit: int | None = None) -> DataFrame:
@@ -39,11 +39,8 @@ def stacked_cities(flights: DataFrame, *carry: str) -> DataFrame:
 
     Both ends leave in one pass over the flights rather than a union of two scans.
     """
-    ends = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("dep_city").alias("city")),
-        F.struct(F.lit(1).alias("side"), F.col("arr_city").alias("city")),
-    )
-    return flights.select(*carry, F.inline(ends))
+    ends = "inline(array(struct(0 AS side, dep_city AS city), struct(1 AS side, arr_city AS city)))"
+    return flights.selectExpr(*carry, ends)
 
 
 def distinct_cities(flights: DataFrame) -> DataFrame:
@@ -59,16 +56,16 @@ def distinct_cities_first_seen(flights: DataFrame, row_key: str) -> DataFrame:
     """
     routes = flights.groupBy("dep_city", "arr_city").agg(F.min(row_key).alias("key"))
     cities = stacked_cities(routes, "key").groupBy("city").agg(
-        F.min(F.when(F.col("side") == 0, F.col("key"))).alias("departure"),
-        F.min(F.when(F.col("side") == 1, F.col("key"))).alias("arrival"),
+        F.expr("min(key) FILTER (WHERE side = 0) AS departure"),
+        F.expr("min(key) FILTER (WHERE side = 1) AS arrival"),
     )
-    return cities.select(
+    return cities.selectExpr(
         "city",
-        F.when(F.col("departure").isNotNull(), 0).otherwise(1).alias("side"),
-        F.coalesce("departure", "arrival").alias("first_key"),
+        "CASE WHEN departure IS NOT NULL THEN 0 ELSE 1 END AS side",
+        "coalesce(departure, arrival) AS first_key",
     )
 
 
 def weather_cities(flights: DataFrame) -> DataFrame:
     """The cities to look weather up for: the distinct ones without the unknown city."""
-    return distinct_cities(flights).where(F.col("city") != "")
+    return distinct_cities(flights).where("city <> ''")

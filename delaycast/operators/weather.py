@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaycast.operators.columns import prefix_columns
 from delaycast.operators.lookup import left_lookup
 from delaycast.operators.sizing import Sized, plan_bytes, sized
 from delaycast.schemas import WEATHER_KEYS
@@ -27,10 +26,10 @@ def latest_weather(weather: DataFrame) -> DataFrame:
     copies never gathers in one task.
     """
     payload = [c for c in weather.columns if c not in WEATHER_KEYS]
-    issued = F.col("dt").cast("string").try_cast("bigint")
-    best = F.max(F.struct(issued.alias("__issued"), *payload)).alias("__best")
+    issued = "TRY_CAST(CAST(dt AS STRING) AS BIGINT)"
+    best = F.expr(f"max(struct({issued} AS __issued, {', '.join(payload)})) AS __best")
     latest = weather.groupBy(*WEATHER_KEYS).agg(best)
-    return latest.select(*WEATHER_KEYS, *[F.col(f"__best.{c}").alias(c) for c in payload])
+    return latest.selectExpr(*WEATHER_KEYS, *[f"__best.{c} AS {c}" for c in payload])
 
 
 def weather_join(
@@ -54,7 +53,7 @@ def weather_join(
     if dedupe:
         frame = latest_weather(frame)
     payload = [c for c in frame.columns if c not in WEATHER_KEYS] if columns is None else columns
-    frame = prefix_columns(frame.select(*WEATHER_KEYS, *payload), f"{role}_", payload)
+    frame = frame.selectExpr(*WEATHER_KEYS, *[f"`{c}` AS `{role}_{c}`" for c in payload])
     # Two upper bounds: the table's own, and the plan's with only the chosen columns.
     size = min(side.size, plan_bytes(frame))
     return left_lookup(flights, Sized(frame, size), role_keys(keys_of or role), limit, profile)

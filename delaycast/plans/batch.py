@@ -5,8 +5,8 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from delaycast.functions.missing import replace_columns
 from delaycast.functions.timeslot import slot_3hr, slot_3hr_compat
 from delaycast.operators.columns import conform, ensure_columns, sort_columns
 from delaycast.operators.outliers import iqr_outlier_flag
@@ -25,9 +25,7 @@ def prepare_flights(feed: DataFrame, airports: DataFrame | Sized, compat: bool =
     """Outlier flag, forecast slots and cities on the raw delay feed, columns in table order."""
     slot = slot_3hr_compat if compat else slot_3hr
     flagged = iqr_outlier_flag(feed, "delayed")
-    slotted = flagged.withColumns(
-        {f"{role}_time_utc_3hr": slot(F.col(f"{role}_time_utc")) for role in ("dep", "arr")}
-    )
+    slotted = replace_columns(flagged, {f"{role}_time_utc_3hr": slot(f"{role}_time_utc") for role in ("dep", "arr")})
     located = both_cities(slotted, airports)
     return sort_columns(ensure_columns(located, OPTIONAL_FEED_COLUMNS))
 

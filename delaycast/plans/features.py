@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from delaycast.functions.labels import delay_label
-from delaycast.functions.missing import NULL_TOKEN, fill_missing, nan_to_null
+from delaycast.functions.missing import filled, replace_columns
 from delaycast.functions.timeslot import minutes_of_day, minutes_of_day_text
 from delaycast.operators.sizing import Sized
 from delaycast.operators.weather import dual_role_weather
@@ -17,19 +16,12 @@ from delaycast.schemas import MESSAGE_COLUMNS
 DESCRIPTIONS = {"dep_desc": "dep_weather_description", "arr_desc": "arr_weather_description"}
 
 
-def _feature(df: DataFrame, name: str) -> Column:
+def feature_expression(df: DataFrame, name: str) -> str:
+    """One model input as SQL over weather-joined rows or stream messages."""
     if name == "dep_time_float":
         is_text = isinstance(df.schema["dep_time_utc"].dataType, T.StringType)
-        time = F.col("dep_time_utc")
-        return minutes_of_day_text(time) if is_text else minutes_of_day(time)
-    if name == "duration":
-        return F.coalesce(nan_to_null(F.col("duration").cast("double")), F.lit(0.0))
-    return F.coalesce(F.col(DESCRIPTIONS.get(name, name)), F.lit(NULL_TOKEN))
-
-
-def with_features(df: DataFrame, features: list[str]) -> dict[str, Column]:
-    """Model inputs as named expressions over weather-joined rows or stream messages."""
-    return {name: _feature(df, name) for name in features}
+        return minutes_of_day_text("dep_time_utc") if is_text else minutes_of_day("dep_time_utc")
+    return filled(df, DESCRIPTIONS.get(name, name))
 
 
 # The training table's feature columns, in table order.
@@ -50,13 +42,12 @@ def training_set(
     Only the description is taken from the weather; the filter runs below both joins. ``keys``
     are carried along for splitting. ``compat`` joins the arrival weather on departure keys.
     """
-    kept = flights.where(F.col("outlier") == 0)
+    kept = flights.where("outlier = 0")
     joined = dual_role_weather(kept, weather, ["weather_description"], compat=compat, limit=limit)
-    features = with_features(joined, TRAINING_FEATURES)
-    return joined.select(
+    return joined.selectExpr(
         *(keys or []),
-        *[column.alias(name) for name, column in features.items()],
-        delay_label(F.col("delayed")).alias("target"),
+        *[f"{feature_expression(joined, name)} AS {name}" for name in TRAINING_FEATURES],
+        f"{delay_label('delayed')} AS target",
     )
 
 
@@ -65,7 +56,6 @@ def serving_features(rows: DataFrame) -> DataFrame:
 
     Missing text becomes the null token and a missing duration 0, as in training.
     """
-    derived = ["dep_time_float", "arr_desc", "dep_desc"]
-    wide = rows.withColumns(with_features(rows, derived))
-    fillable = [c for c in MESSAGE_COLUMNS if c != "dep_time_utc"]
-    return fill_missing(wide, fillable)
+    cleaned = {c: filled(rows, c) for c in MESSAGE_COLUMNS if c != "dep_time_utc"}
+    derived = {c: feature_expression(rows, c) for c in ("dep_time_float", "arr_desc", "dep_desc")}
+    return replace_columns(rows, {**cleaned, **derived})

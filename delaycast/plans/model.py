@@ -10,7 +10,7 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaycast.operators.metrics import PROMOTE, classifier_metrics, metric_gate
@@ -30,29 +30,27 @@ ENCODED = [f"{name}_vector" for name in CATEGORICAL_FEATURES]
 WORKING_COLUMNS = [*INDEXED, *ENCODED, "features", "rawPrediction", "probability", "prediction"]
 
 
-def hash_percent(*keys: str) -> Column:
-    """A number 0..99 from the row key alone, so a row's side of a split never depends on partitioning."""
-    digest = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys]))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+def hash_percent(*keys: str) -> str:
+    """SQL number 0..99 of the row key alone, so a row's side of a split never depends on partitioning."""
+    key = ", ".join(f"CAST(`{k}` AS STRING)" for k in keys)
+    return f"CAST(conv(substring(md5(concat_ws('|', {key})), 1, 8), 16, 10) AS BIGINT) % 100"
 
 
 def train_eval_split(df: DataFrame, *keys: str, percent: int = EVAL_PERCENT, name: str = "split") -> DataFrame:
     """Add the column ``split``: ``eval`` for about ``percent`` of the keys, else ``train``."""
-    return df.withColumn(name, F.when(hash_percent(*keys) < percent, "eval").otherwise("train"))
+    return df.selectExpr("*", f"CASE WHEN {hash_percent(*keys)} < {percent} THEN 'eval' ELSE 'train' END AS {name}")
 
 
 def class_weights(df: DataFrame, label: str = LABEL) -> DataFrame:
     """``label, n, weight`` with weight = rows / (classes * rows of the class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(label).agg(F.expr("count(*) AS n"))
     # One row per class from here on.
-    every_class = Window.partitionBy()
-    balanced = F.sum("n").over(every_class) / F.count(F.lit(1)).over(every_class)
-    return counts.select(label, "n", (balanced / F.col("n")).alias("weight"))
+    return counts.selectExpr(label, "n", "sum(n) OVER () / count(*) OVER () / n AS weight")
 
 
 def label_counts(df: DataFrame, label: str = LABEL) -> dict[int, int]:
     """Rows of each value of a 0/1 label."""
-    counts = df.where(F.col(label).isin(0, 1)).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.where(f"{label} IN (0, 1)").groupBy(label).agg(F.expr("count(*) AS n"))
     return {row[label]: row["n"] for row in counts.collect()}
 
 
@@ -61,10 +59,8 @@ def with_class_weight(
 ) -> DataFrame:
     """Attach the weight of a 0/1 label to every row, as constants rather than by a join."""
     balanced = sum(counts.values()) / max(len(counts), 1)
-    weight = F.lit(None).cast("double")
-    for value, n in counts.items():
-        weight = F.when(F.col(label) == value, F.lit(balanced / n)).otherwise(weight)
-    return df.withColumn(name, weight)
+    cases = " ".join(f"WHEN {label} = {value} THEN {balanced / n!r}D" for value, n in counts.items())
+    return df.selectExpr("*", f"CASE {cases} END AS {name}")
 
 
 def encoding_stages() -> list:
@@ -120,8 +116,8 @@ def fit_trials(training: DataFrame, keys: list[str], penalties: list[Penalty]) -
     """
     training = settle(training, "training-set").frame
     split = train_eval_split(training, *keys)
-    train = split.where(F.col("split") == "train").drop("split", *keys)
-    held_out = split.where(F.col("split") == "eval").drop("split", *keys)
+    train = split.where("split = 'train'").drop("split", *keys)
+    held_out = split.where("split = 'eval'").drop("split", *keys)
 
     encoder = Pipeline(stages=encoding_stages()).fit(train)
     counts = label_counts(train)
@@ -144,10 +140,8 @@ def evaluate_trials(encoded: DataFrame, fits: list[Model]) -> DataFrame:
         name = f"p{fit.uid}"
         scored = fit.transform(scored).withColumn(name, vector_to_array("probability")[1])
         scored = scored.drop("rawPrediction", "probability", "prediction")
-    trials = F.array(
-        *[F.struct(F.lit(i).alias("trial_id"), F.col(f"p{f.uid}").alias("score")) for i, f in enumerate(fits, 1)]
-    )
-    stacked = scored.select(LABEL, F.inline(trials))
+    trials = ", ".join(f"struct({i} AS trial_id, p{fit.uid} AS score)" for i, fit in enumerate(fits, 1))
+    stacked = scored.selectExpr(LABEL, f"inline(array({trials}))")
     return classifier_metrics(stacked, LABEL, "score", ["trial_id"]).select("trial_id", *METRIC_COLUMNS)
 
 
@@ -173,9 +167,7 @@ def score(model: PipelineModel, rows: DataFrame, name: str = "delay_prob") -> Da
     return scored.drop(*WORKING_COLUMNS)
 
 
-def linear_probability(weights: dict[str, float], intercept: float) -> Column:
-    """Probability under fixed coefficients of numeric columns, as a plain expression."""
-    margin = F.lit(intercept)
-    for column, weight in weights.items():
-        margin = margin + F.lit(weight) * F.col(column)
-    return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+def linear_probability(weights: dict[str, float], intercept: float) -> str:
+    """SQL probability under fixed coefficients of numeric columns."""
+    margin = " + ".join([f"{intercept!r}D", *[f"{weight!r}D * `{column}`" for column, weight in weights.items()]])
+    return f"1D / (1D + exp(-({margin})))"

@@ -35,7 +35,7 @@ def read_schedule(
 def feed_filter(flights: DataFrame, dep_iata: str | None = None, minimum: float | None = FEED_MINIMUM_DELAY) -> DataFrame:
     """The predicates the services apply at their end: minimum delay and departure airport."""
     if minimum is not None:
-        flights = flights.where(F.col("delayed") >= minimum)
+        flights = flights.where(f"delayed >= {minimum}")
     if dep_iata is not None:
         flights = flights.where(F.col("dep_iata") == dep_iata)
     return flights
@@ -51,12 +51,9 @@ def decode_payloads(envelopes: DataFrame, schema: T.StructType, *carry: str) ->
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt}
     decoded = F.from_json("body", T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())]), options)
     judged = envelopes.select(*carry, "status", decoded.alias("payload"))
-    verdict = (
-        F.when(F.col("status").isNull() | (F.col("status") != STATUS_OK), "status")
-        .when(F.col("payload").isNull() | F.col(f"payload.{corrupt}").isNotNull(), "corrupt")
-        .otherwise("ok")
-    )
-    return judged.select(*carry, F.col("payload").dropFields(corrupt).alias("payload"), verdict.alias("verdict"))
+    verdict = f"""CASE WHEN status IS NULL OR status <> {STATUS_OK} THEN 'status'
+      WHEN payload IS NULL OR payload.{corrupt} IS NOT NULL THEN 'corrupt' ELSE 'ok' END AS verdict"""
+    return judged.select(*carry, F.col("payload").dropFields(corrupt).alias("payload"), F.expr(verdict))
 
 
 def reject_counts(decoded: DataFrame) -> DataFrame:
@@ -74,13 +71,15 @@ def flatten_forecasts(documents: DataFrame) -> DataFrame:
 
     Values keep the feed's types; absent objects, fields and an empty ``weather`` array give NULL.
     """
-    entries = documents.where(F.col("status") == STATUS_OK).select("city", F.explode("list").alias("e"))
-    row = {"city": F.col("city"), "dt": F.col("e.dt"), "dt_txt": F.col("e.dt_txt")}
-    row.update({name: F.col(f"e.{name}") for name in ("visibility", "pop")})
-    first_condition = F.get("e.weather", F.lit(0))
-    for name in WEATHER_COLUMNS:
-        if name in row:
-            continue
-        group, field = name.split("_", 1)
-        row[name] = first_condition[field] if group == "weather" else F.col(f"e.{group}.{field}")
-    return entries.select(*[row[name].alias(name) for name in WEATHER_COLUMNS])
+    entries = documents.where(f"status = {STATUS_OK}").selectExpr("city", "explode(list) AS e")
+    return entries.selectExpr(*[f"{_entry_field(name)} AS {name}" for name in WEATHER_COLUMNS])
+
+
+def _entry_field(name: str) -> str:
+    """Where a weather column sits in a nested entry: ``<object>_<field>`` except for a few."""
+    if name == "city":
+        return "city"
+    if name in ("dt", "dt_txt", "visibility", "pop"):
+        return f"e.{name}"
+    group, field = name.split("_", 1)
+    return f"get(e.weather, 0).{field}" if group == "weather" else f"e.{group}.{field}"

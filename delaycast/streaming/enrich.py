@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
+from delaycast.functions.missing import replace_columns
 from delaycast.functions.timeslot import slot_3hr
 from delaycast.operators.places import both_cities
 from delaycast.operators.sizing import Sized
@@ -22,8 +22,7 @@ def enrich_schedule(
 
     On a stream the dimensions are static; restart or use ``foreachBatch`` to take up new ones.
     """
-    slotted = schedule.withColumns(
-        {f"{role}_time_utc_3hr": slot_3hr(F.col(f"{role}_time_utc")) for role in ("dep", "arr")}
-    )
+    slots = {f"{role}_time_utc_3hr": slot_3hr(f"{role}_time_utc") for role in ("dep", "arr")}
+    slotted = replace_columns(schedule, slots)
     located = both_cities(slotted, airports, limit)
     return dual_role_weather(located, weather, columns, limit=limit)

@@ -6,9 +6,10 @@ Missing values are placed by fixed moduli because the tables hold none.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaycast.functions.missing import replace_columns
 from delaycast.functions.timeslot import slot_3hr
 from delaycast.operators.lookup import left_lookup
 from delaycast.operators.outliers import iqr_outlier_flag
@@ -17,53 +18,57 @@ from delaycast.operators.sizing import Sized, plan_bytes, settle_if_large
 from delaycast.schemas import WEATHER_COLUMNS
 
 
+# Schemas of the driver tables in use; given, so that opening a table reads no file footer.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    reader = spark.read.schema(SCHEMAS[name]) if name in SCHEMAS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _unless(divisor: int, value: Column) -> Column:
+def _unless(divisor: int, value: str) -> str:
     """NULL for every event whose id the divisor divides."""
-    return F.when(F.col("event_id") % divisor != 0, value)
+    return f"CASE WHEN event_id % {divisor} <> 0 THEN {value} END"
 
 
-def minute_text(time: Column) -> Column:
+def minute_text(name: str) -> str:
     """``YYYY-MM-DD HH:MM``, the way the feeds spell times."""
-    return F.substring(time.cast("string"), 1, 16)
+    return f"substring(CAST({name} AS STRING), 1, 16)"
 
 
 def raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The delay feed with real timestamps."""
-    dep_key = (F.col("user_id") % 25).cast("string")
-    arr_key = ((F.col("user_id") + F.col("event_id")) % 30).cast("string")
-    return table(spark, sf_dir, "events").select(
-        F.col("event_id").alias("flight_id"),
-        _unless(11, F.col("event_type")).alias("airline_iata"),
-        dep_key.alias("dep_icao"),
-        arr_key.alias("arr_icao"),
-        dep_key.alias("dep_iata"),
-        arr_key.alias("arr_iata"),
-        _unless(13, F.col("ts")).alias("dep_time_utc"),
-        (F.col("ts") + F.make_dt_interval(hours=F.lit(2))).alias("arr_time_utc"),
-        _unless(17, F.col("value")).alias("delayed"),
-        _unless(7, (F.col("event_id") % 300).cast("double")).alias("duration"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id AS flight_id",
+        f"{_unless(11, 'event_type')} AS airline_iata",
+        "CAST(user_id % 25 AS STRING) AS dep_icao",
+        "CAST((user_id + event_id) % 30 AS STRING) AS arr_icao",
+        "CAST(user_id % 25 AS STRING) AS dep_iata",
+        "CAST((user_id + event_id) % 30 AS STRING) AS arr_iata",
+        f"{_unless(13, 'ts')} AS dep_time_utc",
+        "ts + INTERVAL '2' HOUR AS arr_time_utc",
+        f"{_unless(17, 'value')} AS delayed",
+        f"{_unless(7, 'CAST(event_id % 300 AS DOUBLE)')} AS duration",
     )
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with times as text, as schedules and messages carry them."""
     flights = raw_flights(spark, sf_dir)
-    return flights.withColumns({c: minute_text(F.col(c)) for c in ("dep_time_utc", "arr_time_utc")})
+    return replace_columns(flights, {c: minute_text(c) for c in ("dep_time_utc", "arr_time_utc")})
 
 
 def with_slots(flights: DataFrame) -> DataFrame:
-    return flights.withColumns(
-        {f"{role}_time_utc_3hr": slot_3hr(F.col(f"{role}_time_utc")) for role in ("dep", "arr")}
-    )
+    return replace_columns(flights, {f"{role}_time_utc_3hr": slot_3hr(f"{role}_time_utc") for role in ("dep", "arr")})
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation")
-    return nation.select(F.col("n_nationkey").cast("string").alias("icao"), F.col("n_name").alias("city"))
+    return nation.selectExpr("CAST(n_nationkey AS STRING) AS icao", "n_name AS city")
 
 
 def located_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,46 +82,44 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both_cities(with_slots(flagged), airports(spark, sf_dir))
 
 
-def forecast_columns(first: Column, last: Column, low: Column, high: Column, mean: Column, n: Column,
-                     kind: Column, slot: Column) -> dict[str, Column]:
-    """The 21 payload columns of a forecast, each with the type the nested feed gives it."""
-    hour = F.substring(slot, 12, 2).cast("int")
-    whole = {
-        "clouds_all": n % 101, "visibility": last % 10000, "weather_id": first % 900, "wind_deg": last % 360,
-    }
-    real = {
-        "main_feels_like": low, "main_grnd_level": last % 1000, "main_humidity": n % 100, "main_pressure": n,
-        "main_sea_level": first % 1000, "main_temp": mean, "main_temp_kf": high - low, "main_temp_max": high,
-        "main_temp_min": low, "pop": (n % 10) / 10, "wind_gust": high, "wind_speed": low,
-    }
-    text = {
-        "sys_pod": F.when(hour.between(6, 17), "d").otherwise("n"),
-        "weather_description": kind,
-        "weather_icon": F.concat((first % 50).cast("string"), F.lit("d")),
-        "weather_main": F.upper(kind),
-    }
-    return {
-        **{k: v.cast("int") for k, v in whole.items()},
-        **{k: v.cast("double") for k, v in real.items()},
-        **text,
-        "dt": F.unix_timestamp(slot.cast("timestamp_ntz")),
-    }
+# The 21 payload columns of a forecast over (first, last, low, high, mean, n, kind, dt_txt), each with
+# the type the nested feed gives it.
+FORECAST = {
+    "clouds_all": "CAST(n % 101 AS INT)",
+    "dt": "unix_timestamp(CAST(dt_txt AS TIMESTAMP_NTZ))",
+    "main_feels_like": "low",
+    "main_grnd_level": "CAST(last % 1000 AS DOUBLE)",
+    "main_humidity": "CAST(n % 100 AS DOUBLE)",
+    "main_pressure": "CAST(n AS DOUBLE)",
+    "main_sea_level": "CAST(first % 1000 AS DOUBLE)",
+    "main_temp": "mean",
+    "main_temp_kf": "high - low",
+    "main_temp_max": "high",
+    "main_temp_min": "low",
+    "pop": "CAST(n % 10 AS DOUBLE) / 10",
+    "sys_pod": "CASE WHEN CAST(substring(dt_txt, 12, 2) AS INT) BETWEEN 6 AND 17 THEN 'd' ELSE 'n' END",
+    "visibility": "CAST(last % 10000 AS INT)",
+    "weather_description": "kind",
+    "weather_icon": "concat(CAST(first % 50 AS STRING), 'd')",
+    "weather_id": "CAST(first % 900 AS INT)",
+    "weather_main": "upper(kind)",
+    "wind_deg": "CAST(last % 360 AS INT)",
+    "wind_gust": "high",
+    "wind_speed": "low",
+}
 
 
 def _forecast_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "error"))
-    return events.select(
-        (F.col("user_id") % 25).cast("string").alias("station"),
-        slot_3hr(F.col("ts")).alias("dt_txt"),
-        "event_id",
-        "event_type",
-        "value",
+    events = table(spark, sf_dir, "events").where("event_type IN ('view', 'error')")
+    return events.selectExpr(
+        "CAST(user_id % 25 AS STRING) AS station", f"{slot_3hr('ts')} AS dt_txt", "event_id", "event_type", "value"
     )
 
 
-def _with_city(rows: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+def _with_city(rows: DataFrame, spark: SparkSession, sf_dir: str, **replaced: str) -> DataFrame:
     found = left_lookup(rows, airports(spark, sf_dir), [("station", "icao")]).where("city IS NOT NULL")
-    return found.select(*WEATHER_COLUMNS)
+    columns = {**FORECAST, **replaced, "city": "city", "dt_txt": "dt_txt"}
+    return found.selectExpr(*[f"{columns[c]} AS {c}" for c in WEATHER_COLUMNS])
 
 
 def weather(spark: SparkSession, sf_dir: str) -> Sized:
@@ -125,28 +128,24 @@ def weather(spark: SparkSession, sf_dir: str) -> Sized:
     Aggregated by station number before the city is looked up. The lookup adds no rows, so the
     aggregate bounds the size; a large one is written once for all joins that use it.
     """
-    grouped = _forecast_events(spark, sf_dir).groupBy("station", "dt_txt").agg(
-        F.min("event_id").alias("first"),
-        F.max("event_id").alias("last"),
-        F.min("value").alias("low"),
-        F.max("value").alias("high"),
-        F.round(F.avg("value"), 6).alias("mean"),
-        F.count(F.lit(1)).alias("n"),
+    aggregates = (
+        "min(event_id) AS first",
+        "max(event_id) AS last",
+        "min(value) AS low",
+        "max(value) AS high",
+        "round(avg(value), 6) AS mean",
+        "count(*) AS n",
         # The smaller of the two kinds, as a flag: text minima would need a sort.
-        F.when(F.bool_or(F.col("event_type") == "error"), "error").otherwise("view").alias("kind"),
+        "CASE WHEN bool_or(event_type = 'error') THEN 'error' ELSE 'view' END AS kind",
     )
-    columns = forecast_columns(*[F.col(c) for c in ("first", "last", "low", "high", "mean", "n", "kind", "dt_txt")])
-    rows = grouped.select("station", "dt_txt", *[column.alias(name) for name, column in columns.items()])
-    return settle_if_large(_with_city(rows, spark, sf_dir), "weather", plan_bytes(grouped))
+    grouped = _forecast_events(spark, sf_dir).groupBy("station", "dt_txt").agg(*[F.expr(a) for a in aggregates])
+    return settle_if_large(_with_city(grouped, spark, sf_dir), "weather", plan_bytes(grouped))
 
 
 def weather_reissues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A forecast per event: many per (city, slot), told apart by their time of issue."""
-    event = _forecast_events(spark, sf_dir)
-    value, event_id = F.col("value"), F.col("event_id")
-    columns = forecast_columns(
-        event_id, event_id, value, value, value, F.lit(1), F.col("event_type"), F.col("dt_txt")
+    single = _forecast_events(spark, sf_dir).selectExpr(
+        "station", "dt_txt", "event_id AS first", "event_id AS last", "value AS low", "value AS high",
+        "value AS mean", "1 AS n", "event_type AS kind",
     )
-    columns["dt"] = event_id
-    rows = event.select("station", "dt_txt", *[column.alias(name) for name, column in columns.items()])
-    return _with_city(rows, spark, sf_dir)
+    return _with_city(single, spark, sf_dir, dt="first")

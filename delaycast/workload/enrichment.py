@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaycast.functions.labels import delay_label
-from delaycast.functions.missing import fill_missing, is_missing
+from delaycast.functions.missing import fill_missing, is_missing, replace_columns
 from delaycast.functions.timeslot import minutes_of_day, minutes_of_day_text, slot_3hr, slot_3hr_compat
 from delaycast.operators.columns import ensure_columns, select_columns, sort_columns, to_numeric
 from delaycast.operators.outliers import iqr_outlier_flag, quartiles
@@ -50,10 +49,8 @@ SELECT flight_id, coalesce({slot_sql('dep_time_utc')}, '') AS dep_slot,
        coalesce({slot_sql('arr_time_utc')}, '') AS arr_slot FROM raw""")
 def slot_3hr_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.raw_flights(spark, sf_dir)
-    return flights.select(
-        "flight_id",
-        slot_3hr(F.col("dep_time_utc")).alias("dep_slot"),
-        slot_3hr(F.col("arr_time_utc")).alias("arr_slot"),
+    return flights.selectExpr(
+        "flight_id", f"{slot_3hr('dep_time_utc')} AS dep_slot", f"{slot_3hr('arr_time_utc')} AS arr_slot"
     )
 
 
@@ -70,10 +67,8 @@ def _compat_sql(time: str) -> str:
 SELECT flight_id, {_compat_sql('dep_time_utc')} AS dep_slot, {_compat_sql('arr_time_utc')} AS arr_slot FROM raw""")
 def slot_3hr_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.schedule(spark, sf_dir)
-    return flights.select(
-        "flight_id",
-        slot_3hr_compat(F.col("dep_time_utc")).alias("dep_slot"),
-        slot_3hr_compat(F.col("arr_time_utc")).alias("arr_slot"),
+    return flights.selectExpr(
+        "flight_id", f"{slot_3hr_compat('dep_time_utc')} AS dep_slot", f"{slot_3hr_compat('arr_time_utc')} AS arr_slot"
     )
 
 
@@ -85,13 +80,13 @@ FROM raw"""
 @query("minutes_of_day", _MINUTES_SQL)
 def minutes_of_day_timestamp(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.raw_flights(spark, sf_dir)
-    return flights.select("flight_id", minutes_of_day(F.col("dep_time_utc")).alias("dep_time_float"))
+    return flights.selectExpr("flight_id", f"{minutes_of_day('dep_time_utc')} AS dep_time_float")
 
 
 @query("minutes_of_day_str", _MINUTES_SQL)
 def minutes_of_day_str(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.schedule(spark, sf_dir)
-    return flights.select("flight_id", minutes_of_day_text(F.col("dep_time_utc")).alias("dep_time_float"))
+    return flights.selectExpr("flight_id", f"{minutes_of_day_text('dep_time_utc')} AS dep_time_float")
 
 
 @query("null_fill", f"""WITH {RAW}
@@ -107,11 +102,8 @@ SELECT flight_id, CAST(airline_iata IS NULL AS INTEGER) AS airline_missing,
        CAST(duration IS NULL AS INTEGER) AS duration_missing FROM raw""")
 def missing_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.raw_flights(spark, sf_dir)
-    flags = {
-        name: is_missing(F.col(column), flights.schema[column].dataType).cast("int")
-        for name, column in (("airline_missing", "airline_iata"), ("duration_missing", "duration"))
-    }
-    return flights.select("flight_id", *[flag.alias(name) for name, flag in flags.items()])
+    flags = (("airline_missing", "airline_iata"), ("duration_missing", "duration"))
+    return flights.selectExpr("flight_id", *[f"CAST({is_missing(flights, c)} AS INT) AS {name}" for name, c in flags])
 
 
 @query("to_numeric", f"""WITH {RAW}
@@ -124,7 +116,7 @@ def to_numeric_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("json_extract", """SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events""")
 def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapter.table(spark, sf_dir, "events")
-    return events.select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+    return events.selectExpr("event_id", "from_json(props, 'k int').k AS k")
 
 
 # --- projections and filters -----------------------------------------------------------------
@@ -151,13 +143,14 @@ def sorted_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = adapter.located_flights(spark, sf_dir)
     wide = dual_role_weather(located, adapter.weather(spark, sf_dir))
-    return select_columns(wide.withColumn("dep_time_utc", adapter.minute_text(F.col("dep_time_utc"))), MESSAGE_COLUMNS)
+    rows = replace_columns(wide, {"dep_time_utc": adapter.minute_text("dep_time_utc")})
+    return select_columns(rows, MESSAGE_COLUMNS)
 
 
 @query("delay_label", f"WITH {RAW} SELECT flight_id, delayed, CAST(CASE WHEN delayed > 45 THEN 1 ELSE 0 END AS INTEGER) AS target FROM raw")
 def delay_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.raw_flights(spark, sf_dir)
-    return flights.select("flight_id", "delayed", delay_label(F.col("delayed")).alias("target"))
+    return flights.selectExpr("flight_id", "delayed", f"{delay_label('delayed')} AS target")
 
 
 @query("filter_non_outlier", with_flights("SELECT flight_id, delayed, CAST(outlier AS INTEGER) AS outlier FROM flights WHERE outlier = 0"))
@@ -183,10 +176,10 @@ judged AS (
 
 def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapter.table(spark, sf_dir, "events")
-    envelopes = events.select(
+    envelopes = events.selectExpr(
         "event_id",
-        F.when(F.col("event_id") % 19 == 0, 404).otherwise(200).alias("status"),
-        F.when(F.col("event_id") % 23 == 0, F.substring("props", 1, 4)).otherwise(F.col("props")).alias("body"),
+        "CASE WHEN event_id % 19 = 0 THEN 404 ELSE 200 END AS status",
+        "CASE WHEN event_id % 23 = 0 THEN substring(props, 1, 4) ELSE props END AS body",
     )
     return decode_payloads(envelopes, _PROPS, "event_id")
 
@@ -195,7 +188,7 @@ def _judged(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, CAST(body->>'$.k' AS INTEGER) AS k FROM judged WHERE verdict = 'ok'""")
 def reject_bad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     accepted = _judged(spark, sf_dir).where("verdict = 'ok'")
-    return accepted.select("event_id", F.col("payload.k").alias("k"))
+    return accepted.selectExpr("event_id", "payload.k AS k")
 
 
 @query("payload_verdicts", f"WITH {_ENVELOPES_SQL} SELECT verdict, count(*) AS n FROM judged GROUP BY verdict")
@@ -313,7 +306,7 @@ def distinct_cities_by_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    return replace_columns(df, {c: f"round({c}, {digits})" for c in columns})
 
 
 @query("quartiles", f"""WITH {RAW} SELECT round(quantile_cont(delayed, 0.25), 6) AS q1, round(quantile_cont(delayed, 0.75), 6) AS q3
@@ -366,7 +359,7 @@ def training_rows_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def serving_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     located = adapter.located_flights(spark, sf_dir)
     wide = dual_role_weather(located, adapter.weather(spark, sf_dir), ["weather_description"])
-    rows = wide.withColumn("dep_time_utc", adapter.minute_text(F.col("dep_time_utc")))
+    rows = replace_columns(wide, {"dep_time_utc": adapter.minute_text("dep_time_utc")})
     return serving_features(rows.select("flight_id", *MESSAGE_COLUMNS)).select(
         "flight_id", "airline_iata", "arr_desc", "arr_iata", "dep_desc", "dep_iata", "dep_time_float", "duration"
     )

@@ -57,24 +57,16 @@ def schedule_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def forecast_documents(weather: DataFrame) -> DataFrame:
     """Nested forecast documents, one per city and five days, hence at most 40 entries each."""
-    nested = {
-        group: F.struct(*[F.col(c).alias(c.split("_", 1)[1]) for c in WEATHER_COLUMNS if c.startswith(f"{group}_")])
+    fields = {
+        group: ", ".join(f"{c} AS `{c.split('_', 1)[1]}`" for c in WEATHER_COLUMNS if c.startswith(f"{group}_"))
         for group in ("main", "clouds", "wind", "sys", "weather")
     }
-    entry = F.struct(
-        "dt",
-        nested["main"].alias("main"),
-        F.array(nested["weather"]).alias("weather"),
-        nested["clouds"].alias("clouds"),
-        nested["wind"].alias("wind"),
-        "visibility",
-        "pop",
-        nested["sys"].alias("sys"),
-        "dt_txt",
+    nested = [f"struct({fields[group]}) AS {group}" for group in ("main", "clouds", "wind", "sys")]
+    entry = f"struct(dt, {', '.join(nested)}, array(struct({fields['weather']})) AS weather, visibility, pop, dt_txt)"
+    documents = weather.groupBy("city", F.expr("dt DIV (5 * 24 * 3600) AS window")).agg(
+        F.expr(f"collect_list({entry}) AS list")
     )
-    five_days = F.floor(F.col("dt") / (5 * 24 * 3600))
-    documents = weather.groupBy("city", five_days.alias("window")).agg(F.collect_list(entry).alias("list"))
-    return documents.select("city", F.lit(STATUS_OK).alias("status"), "list")
+    return documents.selectExpr("city", f"{STATUS_OK} AS status", "list")
 
 
 @query("json_flatten", f"WITH {WEATHER} SELECT {', '.join(WEATHER_COLUMNS)} FROM weather")
@@ -105,7 +97,7 @@ def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepared = prepare_flights(adapter.schedule(spark, sf_dir), adapter.airports(spark, sf_dir))
     write_csv(conform(prepared, FLIGHT_TABLE), path)
     table = read_csv(spark, path, FLIGHT_TABLE)
-    return table.withColumn("dep_time_utc", F.col("dep_time_utc").cast("string"))
+    return table.withColumn("dep_time_utc", F.expr("CAST(dep_time_utc AS STRING)"))
 
 
 def _csv_weather_sql(name: str) -> str:

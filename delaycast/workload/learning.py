@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from delaycast.functions.labels import delay_label
+from delaycast.functions.missing import replace_columns
 from delaycast.operators.metrics import best_trial, classifier_metrics, metric_gate
 from delaycast.operators.outliers import iqr_outlier_flag
 from delaycast.plans import model
@@ -53,16 +53,14 @@ evaluation AS (
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = adapter.table(spark, sf_dir, "events")
-    raised = F.col("value") + 3 * F.from_json("props", "k int")["k"]
-    return events.select(
-        (F.col("user_id") % 5 + 1).cast("int").alias("trial_id"),
-        delay_label(F.col("value")).alias("y"),
-        (raised / (raised + 150)).alias("p"),
+    raised = events.selectExpr("user_id", "value", "value + 3 * from_json(props, 'k int').k AS raised")
+    return raised.selectExpr(
+        "CAST(user_id % 5 + 1 AS INT) AS trial_id", f"{delay_label('value')} AS y", "raised / (raised + 150) AS p"
     )
 
 
 def _rounded(df: DataFrame) -> DataFrame:
-    return df.withColumns({m: F.round(m, 6) for m in METRIC_COLUMNS})
+    return replace_columns(df, {m: f"round({m}, 6)" for m in METRIC_COLUMNS})
 
 
 def _evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,8 +106,8 @@ SELECT CAST(target AS INTEGER) AS target, count(*) AS n,
 FROM targets GROUP BY target""")
 def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = iqr_outlier_flag(adapter.raw_flights(spark, sf_dir), "delayed").where("outlier = 0")
-    weights = model.class_weights(flights.select(delay_label(F.col("delayed")).alias("target")))
-    return weights.withColumn("weight", F.round("weight", 9))
+    weights = model.class_weights(flights.selectExpr(f"{delay_label('delayed')} AS target"))
+    return replace_columns(weights, {"weight": "round(weight, 9)"})
 
 
 @query("train_eval_split", f"""WITH {RAW}
@@ -134,7 +132,7 @@ def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     indexer: StringIndexer = model.encoding_stages()[0]
     encoded = indexer.fit(training).transform(training)
     # The index columns carry the vocabulary as metadata; a plain cast leaves it behind.
-    return encoded.select("flight_id", *[F.col(c).cast("double").alias(c) for c in model.INDEXED])
+    return encoded.selectExpr("flight_id", *[f"CAST({c} AS DOUBLE) AS {c}" for c in model.INDEXED])
 
 
 # --- models ----------------------------------------------------------------------------------------
@@ -171,4 +169,4 @@ SELECT flight_id, duration, dep_time_float,
 def score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     probability = model.linear_probability(_WEIGHTS, _INTERCEPT)
     rows = _training(spark, sf_dir).select("flight_id", "duration", "dep_time_float")
-    return rows.withColumn("delay_prob", F.round(probability, 9))
+    return rows.selectExpr("*", f"round({probability}, 9) AS delay_prob")

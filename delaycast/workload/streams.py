@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaycast.functions.missing import replace_columns
 from delaycast.operators.weather import dual_role_weather
 from delaycast.plans.features import serving_features, training_set
 from delaycast.plans.model import linear_probability, train_logistic
@@ -48,8 +48,8 @@ def enriched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the producer side publishes: the message columns, times as text."""
     located = adapter.located_flights(spark, sf_dir)
     wide = dual_role_weather(located, adapter.weather(spark, sf_dir), ["weather_description"])
-    text_time = adapter.minute_text(F.col("dep_time_utc"))
-    return wide.withColumn("dep_time_utc", text_time).select("flight_id", *MESSAGE_COLUMNS)
+    rows = replace_columns(wide, {"dep_time_utc": adapter.minute_text("dep_time_utc")})
+    return rows.select("flight_id", *MESSAGE_COLUMNS)
 
 
 @query("stream_parse_explode", joined(f"""f.flight_id, f.airline_iata, a.weather_description AS arr_weather_description,
@@ -81,7 +81,7 @@ def stream_score_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = topic_of(enriched_rows(spark, sf_dir), "messages")
     features = serving_features(message_rows(messages, KEYED_MESSAGE))
     probability = linear_probability({"duration": -0.004, "dep_time_float": 0.001}, -0.25)
-    scored = features.select("flight_id", F.round(probability, 9).alias("delay_prob"), "dep_desc", "arr_desc")
+    scored = features.selectExpr("flight_id", f"round({probability}, 9) AS delay_prob", "dep_desc", "arr_desc")
     return drain(scored, "linear")
 
 
