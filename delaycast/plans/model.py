@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import random
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
@@ -111,8 +112,9 @@ def fit_trials(training: DataFrame, keys: list[str], penalties: list[Penalty]) -
     """Fit one model per penalty on the train side and evaluate all on the eval side.
 
     The narrow training set is written once, so its joins are not repeated. The encoded train
-    side stays in the executors' memory and on their disks while the fits iterate over it; lost
-    blocks are recomputed from the written table. All models score the eval side in one pass.
+    side stays in the executors' memory and on their disks while the fits, which run side by side,
+    iterate over it; lost blocks are recomputed from the written table. All models score the eval
+    side in one pass.
     """
     training = settle(training, "training-set").frame
     split = train_eval_split(training, *keys)
@@ -124,7 +126,7 @@ def fit_trials(training: DataFrame, keys: list[str], penalties: list[Penalty]) -
     encoded = with_class_weight(encoder.transform(train), counts).select("features", LABEL, "weight")
     encoded = encoded.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fits = [penalty.estimator(sum(counts.values())).fit(encoded) for penalty in penalties]
+        fits = _fit_all(encoded, [penalty.estimator(sum(counts.values())) for penalty in penalties])
     finally:
         encoded.unpersist()
 
@@ -133,6 +135,13 @@ def fit_trials(training: DataFrame, keys: list[str], penalties: list[Penalty]) -
     return Trained(models, evaluation)
 
 
+def _fit_all(encoded: DataFrame, estimators: list[LogisticRegression]) -> list[Model]:
+    """Fit the trials at the same time: one fit's short jobs leave most executors idle."""
+    fit = inheritable_thread_target(encoded.sparkSession)(lambda estimator: estimator.fit(encoded))
+    with ThreadPool(len(estimators)) as pool:
+        return pool.map(fit, estimators)
+
+
 def evaluate_trials(encoded: DataFrame, fits: list[Model]) -> DataFrame:
     """One evaluation row per fitted trial, numbered from 1, all trials scored in one pass."""
     scored = encoded.select("features", LABEL)
