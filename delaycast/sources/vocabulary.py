@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -17,22 +18,24 @@ def read_vocabulary(spark: SparkSession, path: str) -> list[str]:
     return [row.token for row in lines.where("token <> ''").collect()]
 
 
-def vocabulary_indexer(
-    spark: SparkSession, folder: str, features: list[str] | None = None
-) -> StringIndexerModel:
-    """An indexer over stored vocabularies; unseen tokens get one extra index per feature."""
-    features = features or CATEGORICAL_FEATURES
-    labels = [read_vocabulary(spark, f"{folder}/{name}.txt") for name in features]
-    return StringIndexerModel.from_arrays_of_labels(
-        labels,
-        inputCols=features,
-        outputCols=[f"{name}_index" for name in features],
-        handleInvalid="keep",
+def vocabulary_indexer(spark: SparkSession, folder: str, features: list[str] | None = None) -> PipelineModel:
+    """Indexers over stored vocabularies; an unseen token gets the index after a feature's last."""
+    # One indexer per feature: a joint one would pad all vocabularies to the longest.
+    return PipelineModel(
+        stages=[
+            StringIndexerModel.from_labels(
+                read_vocabulary(spark, f"{folder}/{name}.txt"),
+                inputCol=name,
+                outputCol=f"{name}_index",
+                handleInvalid="keep",
+            )
+            for name in features or CATEGORICAL_FEATURES
+        ]
     )
 
 
-def write_vocabularies(model: StringIndexerModel, spark: SparkSession, folder: str) -> None:
-    """Store an indexer's vocabularies in the same form."""
-    for name, labels in zip(model.getInputCols(), model.labelsArray):
+def write_vocabularies(indexer: StringIndexerModel, spark: SparkSession, folder: str) -> None:
+    """Store a trained indexer's vocabularies in the same form."""
+    for name, labels in zip(indexer.getInputCols(), indexer.labelsArray):
         tokens = spark.createDataFrame([(token,) for token in labels], "value string")
         tokens.coalesce(1).write.mode("overwrite").text(f"{folder}/{name}.txt")
