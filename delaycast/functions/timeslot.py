@@ -14,9 +14,11 @@ def slot_3hr(name: str) -> str:
     next calendar day. Takes a timestamp or text that starts like ``YYYY-MM-DD HH:MM``.
     """
     at = f"TRY_CAST(`{name}` AS TIMESTAMP_NTZ)"
-    hours = f"CAST(3 * ((hour({at}) + 1) DIV 3) AS INT)"
-    slot = f"CAST(CAST({at} AS DATE) AS TIMESTAMP_NTZ) + make_dt_interval(0, {hours})"
-    return f"coalesce(CAST({slot} AS STRING), '')"
+    next_hour = f"(hour({at}) + 1)"
+    day = f"date_add(CAST({at} AS DATE), CAST({next_hour} DIV 24 AS INT))"
+    slot_hour = f"lpad(CAST(3 * ({next_hour} DIV 3) % 24 AS STRING), 2, '0')"
+    # Formatting a date and an hour costs far less than formatting a timestamp.
+    return f"coalesce(concat(CAST({day} AS STRING), ' ', {slot_hour}, ':00:00'), '')"
 
 
 def slot_3hr_compat(name: str) -> str:

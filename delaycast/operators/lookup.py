@@ -14,6 +14,10 @@ def _all_equal(pairs: list[tuple[str, str]], null_safe: bool = False) -> Column:
     return F.expr(" AND ".join(f"`{a}` {operator} `{b}`" for a, b in pairs))
 
 
+# Copies of a dimension row in a stream's shuffle join, where hot keys cannot be counted beforehand.
+STREAM_COPIES = 16
+
+
 def left_lookup(
     facts: DataFrame,
     dimension: DataFrame | Sized,
@@ -25,9 +29,9 @@ def left_lookup(
 
     The dimension's key columns are dropped from the result; its other columns must not clash
     with fact columns. A dimension within the broadcast bound is broadcast, so the facts are not
-    shuffled at all. Beyond it both sides are shuffled, hot fact keys spread over several tasks;
-    ``profile`` names a cheaper frame with the same keys to find them on. A streaming fact side
-    is never aggregated for hot keys; past the bound it joins plainly.
+    shuffled at all. Beyond it both sides are shuffled and hot fact keys spread over several
+    tasks; ``profile`` names a cheaper frame with the same keys to find them on. A stream cannot
+    be counted first, so there every key is spread over a fixed number of tasks.
     """
     side = sized(dimension)
     joined_keys = [f"__key_{i}" for i in range(len(keys))]
@@ -36,7 +40,9 @@ def left_lookup(
     if fits_broadcast(side, limit):
         joined = facts.join(F.broadcast(right), _all_equal(pairs), "left")
     elif facts.isStreaming:
-        joined = facts.join(right, _all_equal(pairs), "left")
+        joined = _salted_join(
+            facts.withColumn("__copies", F.lit(STREAM_COPIES)), right.withColumn("__copies", F.lit(STREAM_COPIES)), pairs
+        )
     else:
         joined = _spread_join(facts, right, pairs, facts if profile is None else profile)
     return joined.drop(*joined_keys)
@@ -65,19 +71,19 @@ def _spread_join(
     hot_names = {a: f"__hot_{i}" for i, a in enumerate(fact_keys)}
     hot = F.broadcast(hot_keys(profile, fact_keys, tasks).withColumnsRenamed(hot_names))
 
-    # Rows of one hot key differ in their other columns or, when they are copies of one another,
-    # in the input partition they come from; either spreads them, and both repeat on a retry.
-    hashable = [f.name for f in facts.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    spread = F.xxhash64(F.spark_partition_id(), *hashable)
-    left = (
-        facts.join(hot, _all_equal([(a, hot_names[a]) for a in fact_keys], null_safe=True), "left")
-        .withColumn("__salt", F.coalesce(F.pmod(spread, F.col("__copies")), F.lit(0)).cast("int"))
-        .drop("__copies", *hot_names.values())
-    )
-    copies = F.expr("sequence(0, coalesce(__copies, 1) - 1)")
-    right = (
-        dimension.join(hot, _all_equal([(b, hot_names[a]) for a, b in pairs]), "left")
-        .withColumn("__copy", F.explode(copies))
-        .drop("__copies", *hot_names.values())
-    )
+    left = facts.join(hot, _all_equal([(a, hot_names[a]) for a in fact_keys], null_safe=True), "left")
+    right = dimension.join(hot, _all_equal([(b, hot_names[a]) for a, b in pairs]), "left")
+    return _salted_join(left.drop(*hot_names.values()), right.drop(*hot_names.values()), pairs)
+
+
+def _salted_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """Left join of sides that both name in ``__copies`` how often their key is split (NULL: not).
+
+    Rows of one key differ in their other columns or, when they are copies of one another, in the
+    input partition they come from; either spreads them, and both repeat on a retry.
+    """
+    hashable = [f"`{f.name}`" for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    spread = f"pmod(xxhash64(spark_partition_id(), {', '.join(hashable)}), coalesce(__copies, 1))"
+    left = left.withColumn("__salt", F.expr(f"CAST({spread} AS INT)")).drop("__copies")
+    right = right.withColumn("__copy", F.expr("explode(sequence(0, coalesce(__copies, 1) - 1))")).drop("__copies")
     return left.join(right, _all_equal([*pairs, ("__salt", "__copy")]), "left").drop("__salt", "__copy")

@@ -17,7 +17,7 @@ THRESHOLD = 0.5
 # Probabilities are kept this far from 0 and 1 in the log loss.
 LOG_EPSILON = 1e-15
 # Score groups whose input is below this size are recomputed rather than written between two uses.
-RECOMPUTE_BYTES = 256 * 1024 * 1024
+RECOMPUTE_BYTES = 32 * 1024 * 1024
 
 
 def classifier_metrics(
@@ -69,12 +69,16 @@ def classifier_metrics(
 
 def _score_groups(df: DataFrame, label: str, score: str, by: list[str]) -> DataFrame:
     """Positives and negatives per distinct score, combined before the shuffle."""
-    scored = df.selectExpr(*by, f"CAST(`{label}` AS INT) AS label", f"CAST(`{score}` AS DOUBLE) AS score")
-    scored = scored.where("label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)")
-    groups = scored.groupBy(*by, "score").agg(
-        F.expr("sum(CASE WHEN label = 1 THEN 1D ELSE 0D END) AS pos"),
-        F.expr("sum(CASE WHEN label = 1 THEN 0D ELSE 1D END) AS neg"),
+    # Rows without a label or score count nothing rather than being filtered: a filter would
+    # evaluate the score expression a second time.
+    valid = "label IS NOT NULL AND score IS NOT NULL AND NOT isnan(score)"
+    scored = df.selectExpr(*by, f"CAST(`{label}` AS INT) AS label", f"CAST(`{score}` AS DOUBLE) AS score").selectExpr(
+        *by,
+        f"CASE WHEN {valid} THEN score ELSE 0D END AS score",
+        f"CASE WHEN {valid} AND label = 1 THEN 1D ELSE 0D END AS pos",
+        f"CASE WHEN {valid} AND label <> 1 THEN 1D ELSE 0D END AS neg",
     )
+    groups = scored.groupBy(*by, "score").agg(F.expr("sum(pos) AS pos"), F.expr("sum(neg) AS neg"))
     return settle_if_large(groups, "score-groups", plan_bytes(scored), RECOMPUTE_BYTES).frame
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaycast.operators.lookup import left_lookup
-from delaycast.operators.sizing import Sized, plan_bytes, sized
+from delaycast.operators.sizing import Sized, plan_bytes, settle_if_large, sized
 from delaycast.schemas import WEATHER_KEYS
 
 DEPARTURE = "dep"
@@ -21,8 +21,8 @@ def role_keys(role: str) -> list[tuple[str, str]]:
 def latest_weather(weather: DataFrame) -> DataFrame:
     """One row per (city, slot): the one issued last (largest ``dt``).
 
-    Issue times are compared as numbers; equal ones fall back to the whole row, so the choice is
-    repeatable. ``max`` over a struct is combined before the shuffle, so a slot with very many
+    Issue times are compared as numbers; equal ones fall back to the other columns, so the choice
+    is repeatable. ``max`` over a struct is combined before the shuffle, so a slot with very many
     copies never gathers in one task.
     """
     payload = [c for c in weather.columns if c not in WEATHER_KEYS]
@@ -32,6 +32,15 @@ def latest_weather(weather: DataFrame) -> DataFrame:
     return latest.selectExpr(*WEATHER_KEYS, *[f"__best.{c} AS {c}" for c in payload])
 
 
+def latest_only(weather: DataFrame | Sized, columns: list[str] | None = None) -> Sized:
+    """``latest_weather`` of the columns in use; a large table is reduced once and written."""
+    side = sized(weather)
+    frame = side.frame
+    if columns is not None:
+        frame = frame.select(*dict.fromkeys([*WEATHER_KEYS, "dt", *columns]))
+    return settle_if_large(latest_weather(frame), "latest-weather", side.size)
+
+
 def weather_join(
     flights: DataFrame,
     weather: DataFrame | Sized,
@@ -48,10 +57,8 @@ def weather_join(
     compatibility mode joins arrival weather on the departure keys). Duplicate weather rows fan
     out as in SQL unless ``dedupe`` keeps only the latest.
     """
-    side = sized(weather)
+    side = latest_only(weather, columns) if dedupe else sized(weather)
     frame = side.frame
-    if dedupe:
-        frame = latest_weather(frame)
     payload = [c for c in frame.columns if c not in WEATHER_KEYS] if columns is None else columns
     frame = frame.selectExpr(*WEATHER_KEYS, *[f"`{c}` AS `{role}_{c}`" for c in payload])
     # Two upper bounds: the table's own, and the plan's with only the chosen columns.
@@ -72,7 +79,7 @@ def dual_role_weather(
     ``compat`` looks the arrival weather up by the departure city and slot, as the original
     training query does; the default uses the arrival keys, as serving does.
     """
-    side = sized(weather)
-    departed = weather_join(flights, side, DEPARTURE, columns, dedupe=dedupe, limit=limit)
+    side = latest_only(weather, columns) if dedupe else sized(weather)
+    departed = weather_join(flights, side, DEPARTURE, columns, limit=limit)
     keys_of = DEPARTURE if compat else ARRIVAL
-    return weather_join(departed, side, ARRIVAL, columns, keys_of, dedupe, limit, profile=flights)
+    return weather_join(departed, side, ARRIVAL, columns, keys_of, limit=limit, profile=flights)

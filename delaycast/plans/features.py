@@ -9,7 +9,7 @@ from delaycast.functions.labels import delay_label
 from delaycast.functions.missing import filled, replace_columns
 from delaycast.functions.timeslot import minutes_of_day, minutes_of_day_text
 from delaycast.operators.sizing import Sized
-from delaycast.operators.weather import dual_role_weather
+from delaycast.operators.weather import ARRIVAL, DEPARTURE, dual_role_weather, role_keys
 from delaycast.schemas import MESSAGE_COLUMNS
 
 # Which weather column of each role becomes which feature.
@@ -24,10 +24,12 @@ def feature_expression(df: DataFrame, name: str) -> str:
     return filled(df, DESCRIPTIONS.get(name, name))
 
 
-# The training table's feature columns, in table order.
+# The training table's feature columns, in table order, and the flight columns
+# they and the label are made from.
 TRAINING_FEATURES = [
     "airline_iata", "dep_iata", "arr_iata", "duration", "dep_time_float", "dep_desc", "arr_desc",
 ]
+TRAINING_INPUTS = ["airline_iata", "dep_iata", "arr_iata", "duration", "dep_time_utc", "delayed"]
 
 
 def training_set(
@@ -39,10 +41,12 @@ def training_set(
 ) -> DataFrame:
     """Features and ``target`` of the flights that are no outliers.
 
-    Only the description is taken from the weather; the filter runs below both joins. ``keys``
+    Only the columns in use enter the joins, and the filter runs below both. ``keys``
     are carried along for splitting. ``compat`` joins the arrival weather on departure keys.
     """
-    kept = flights.where("outlier = 0")
+    join_keys = [left for role in (DEPARTURE, ARRIVAL) for left, _ in role_keys(role)]
+    needed = [*(keys or []), *TRAINING_INPUTS, *join_keys]
+    kept = flights.where("outlier = 0").select(*dict.fromkeys(needed))
     joined = dual_role_weather(kept, weather, ["weather_description"], compat=compat, limit=limit)
     return joined.selectExpr(
         *(keys or []),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaycast.operators.metrics import PROMOTE, classifier_metrics, metric_gate
-from delaycast.operators.sizing import settle
+from delaycast.operators.sizing import Sized, settle
 from delaycast.schemas import CATEGORICAL_FEATURES, METRIC_COLUMNS, NUMERIC_FEATURES
 
 # Training settings of the delay model.
@@ -108,15 +108,16 @@ class Trained(NamedTuple):
     evaluation: DataFrame
 
 
-def fit_trials(training: DataFrame, keys: list[str], penalties: list[Penalty]) -> Trained:
+def fit_trials(training: DataFrame | Sized, keys: list[str], penalties: list[Penalty]) -> Trained:
     """Fit one model per penalty on the train side and evaluate all on the eval side.
 
-    The narrow training set is written once, so its joins are not repeated. The encoded train
+    The narrow training set is written once (unless it comes settled), so its joins are not
+    repeated. The encoded train
     side stays in the executors' memory and on their disks while the fits, which run side by side,
     iterate over it; lost blocks are recomputed from the written table. All models score the eval
     side in one pass.
     """
-    training = settle(training, "training-set").frame
+    training = (training if isinstance(training, Sized) else settle(training, "training-set")).frame
     split = train_eval_split(training, *keys)
     train = split.where("split = 'train'").drop("split", *keys)
     held_out = split.where("split = 'eval'").drop("split", *keys)
@@ -154,12 +155,12 @@ def evaluate_trials(encoded: DataFrame, fits: list[Model]) -> DataFrame:
     return classifier_metrics(stacked, LABEL, "score", ["trial_id"]).select("trial_id", *METRIC_COLUMNS)
 
 
-def train_logistic(training: DataFrame, keys: list[str], penalty: Penalty = Penalty(1.0, 1.0)) -> Trained:
+def train_logistic(training: DataFrame | Sized, keys: list[str], penalty: Penalty = Penalty(1.0, 1.0)) -> Trained:
     """A single fit with its evaluation."""
     return fit_trials(training, keys, [penalty])
 
 
-def tune(training: DataFrame, keys: list[str], trials: int = TRIALS, seed: int = 0) -> Trained:
+def tune(training: DataFrame | Sized, keys: list[str], trials: int = TRIALS, seed: int = 0) -> Trained:
     """Random search over the penalties."""
     return fit_trials(training, keys, draw_penalties(trials, seed))
 

@@ -17,7 +17,7 @@ from delaycast.operators.places import (
     stacked_cities,
     weather_cities,
 )
-from delaycast.operators.weather import dual_role_weather, weather_join
+from delaycast.operators.weather import dual_role_weather, role_keys, weather_join
 from delaycast.plans.features import serving_features, training_set
 from delaycast.schemas import MESSAGE_COLUMNS, OPTIONAL_FEED_COLUMNS, WEATHER_PAYLOAD
 from delaycast.sources.feeds import decode_payloads, feed_filter, reject_counts
@@ -232,7 +232,8 @@ _DESCRIPTIONS = "f.flight_id, d.weather_description AS dep_weather_description,
 
 
 def _descriptions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
-    located = adapter.located_flights(spark, sf_dir)
+    keys = [left for role in ("dep", "arr") for left, _ in role_keys(role)]
+    located = adapter.located_flights(spark, sf_dir).select("flight_id", *keys)
     wide = dual_role_weather(located, adapter.weather(spark, sf_dir), ["weather_description"], **options)
     return wide.select("flight_id", "dep_weather_description", "arr_weather_description")
 

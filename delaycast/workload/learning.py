@@ -9,6 +9,7 @@ from delaycast.functions.labels import delay_label
 from delaycast.functions.missing import replace_columns
 from delaycast.operators.metrics import best_trial, classifier_metrics, metric_gate
 from delaycast.operators.outliers import iqr_outlier_flag
+from delaycast.operators.sizing import settle
 from delaycast.plans import model
 from delaycast.plans.features import training_set
 from delaycast.schemas import CATEGORICAL_FEATURES, METRIC_COLUMNS
@@ -96,6 +97,7 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The training set with its row key."""
     return training_set(adapter.flights(spark, sf_dir), adapter.weather(spark, sf_dir), keys=["flight_id"])
 
 
@@ -128,7 +130,7 @@ def _vocabulary_sql(name: str) -> str:
 SELECT t.flight_id, {', '.join(f'{c}_vocabulary.i AS {c}_index' for c in CATEGORICAL_FEATURES)}
 FROM training t {' '.join(f'JOIN {c}_vocabulary ON t.{c} = {c}_vocabulary.token' for c in CATEGORICAL_FEATURES)}""")
 def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    training = _training(spark, sf_dir)
+    training = settle(_training(spark, sf_dir), "training-set").frame
     indexer: StringIndexer = model.encoding_stages()[0]
     encoded = indexer.fit(training).transform(training)
     # The index columns carry the vocabulary as metadata; a plain cast leaves it behind.
@@ -153,9 +155,9 @@ def tune_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("score_batch")
 def score_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All training rows with the probability a model trained on them gives."""
-    training = _training(spark, sf_dir)
+    training = settle(_training(spark, sf_dir), "training-set")
     fitted = model.train_logistic(training, ["flight_id"]).models[0]
-    return model.score(fitted, training)
+    return model.score(fitted, training.frame)
 
 
 # Fixed coefficients of the linear score below.

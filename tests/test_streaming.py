@@ -67,13 +67,15 @@ def test_enriched_stream_equals_batch(spark, folder):
         "city string, dt_txt string, weather_description string",
     )
 
-    def enrich(messages):
-        return enrich_schedule(message_rows(messages, FLIGHT_RECORD), airports, weather).select(
+    def enrich(messages, limit=None):
+        return enrich_schedule(message_rows(messages, FLIGHT_RECORD), airports, weather, limit=limit).select(
             "flight_iata", "dep_city", "arr_city", "dep_time_utc_3hr", "arr_time_utc_3hr",
             "dep_weather_description", "arr_weather_description",
         )
 
-    streamed = drain(enrich(read_topic_files(spark, f"{folder}/topic")), "test-enriched")
+    stream = read_topic_files(spark, f"{folder}/topic")
+    streamed = drain(enrich(stream), "test-enriched")
+    assert tuples(drain(enrich(stream, limit=-1), "test-enriched-spread")) == tuples(streamed)
     assert tuples(streamed) == tuples(enrich(spark.read.text(f"{folder}/topic"))) == [
         ("AA1", "Miami", "London", "2023-04-08 09:00:00", "2023-04-08 15:00:00", "snow", "mist"),
         ("AA2", "", "Miami", "", "2023-04-08 09:00:00", None, "snow"),
