@@ -147,13 +147,15 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select_columns(rows, MESSAGE_COLUMNS)
 
 
-@query("delay_label", f"WITH {RAW} SELECT flight_id, delayed, CAST(CASE WHEN delayed > 45 THEN 1 ELSE 0 END AS INTEGER) AS target FROM raw")
+@query("delay_label", f"""WITH {RAW}
+SELECT flight_id, delayed, CAST(CASE WHEN delayed > 45 THEN 1 ELSE 0 END AS INTEGER) AS target FROM raw""")
 def delay_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.raw_flights(spark, sf_dir)
     return flights.selectExpr("flight_id", "delayed", f"{delay_label('delayed')} AS target")
 
 
-@query("filter_non_outlier", with_flights("SELECT flight_id, delayed, CAST(outlier AS INTEGER) AS outlier FROM flights WHERE outlier = 0"))
+@query("filter_non_outlier", with_flights("""SELECT flight_id, delayed, CAST(outlier AS INTEGER) AS outlier
+FROM flights WHERE outlier = 0"""))
 def filter_non_outlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = iqr_outlier_flag(adapter.raw_flights(spark, sf_dir), "delayed")
     return flagged.where("outlier = 0").select("flight_id", "delayed", "outlier")
@@ -228,7 +230,8 @@ def weather_arr_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_join(located, adapter.weather(spark, sf_dir), "arr", columns)
 
 
-_DESCRIPTIONS = "f.flight_id, d.weather_description AS dep_weather_description, a.weather_description AS arr_weather_description"
+_DESCRIPTIONS = """f.flight_id, d.weather_description AS dep_weather_description,
+  a.weather_description AS arr_weather_description"""
 
 
 def _descriptions(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
@@ -254,7 +257,10 @@ def weather_join_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _descriptions(spark, sf_dir, compat=True)
 
 
-@query("weather_dual_role_wide", joined("f.flight_id, " + ", ".join(f"{a}.{c} AS {p}_{c}" for a, p in (("d", "dep"), ("a", "arr")) for c in WEATHER_PAYLOAD)))
+_WIDE = ", ".join(f"{a}.{c} AS {p}_{c}" for a, p in (("d", "dep"), ("a", "arr")) for c in WEATHER_PAYLOAD)
+
+
+@query("weather_dual_role_wide", joined(f"f.flight_id, {_WIDE}"))
 def weather_dual_role_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = dual_role_weather(adapter.located_flights(spark, sf_dir), adapter.weather(spark, sf_dir))
     return wide.select("flight_id", *[f"{p}_{c}" for p in ("dep", "arr") for c in WEATHER_PAYLOAD])
