@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,19 +22,19 @@ def to_json_rows(df: DataFrame, keep_nulls: bool = False) -> DataFrame:
 def to_json_batches(df: DataFrame, rows: int = BATCH_ROWS, field: str | None = None) -> DataFrame:
     """Messages that each carry a JSON array of at most ``rows`` rows, every row in one message.
 
-    Batches are cut by position within input partitions, so none can grow with the data, whatever
-    its keys. Positions repeat on a retry when ``df`` is a scan with row-wise or broadcast steps.
+    The rows become JSON natively; a task then strings its own rows together as they come. Nothing
+    is shuffled, no batch grows with a key, and a retried task only replaces its own messages.
     ``field`` wraps the array into an object under that name.
     """
-    batch = F.struct(
-        F.spark_partition_id().alias("part"),
-        F.expr(f"monotonically_increasing_id() div {int(rows)}").alias("cut"),
-    )
-    columns = df.columns
-    batched = df.withColumn("__batch", batch).groupBy("__batch")
-    records = batched.agg(F.collect_list(F.struct(*columns)).alias("r"))
-    payload = F.col("r") if field is None else F.struct(F.col("r").alias(field))
-    return records.select(F.to_json(payload).alias("value"))
+    opening, closing = ("[", "]") if field is None else (f'{{"{field}":[', "]}")
+
+    def batches(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            lines = part["value"].tolist()
+            messages = [opening + ",".join(lines[i : i + rows]) + closing for i in range(0, len(lines), rows)]
+            yield pd.DataFrame({"value": messages})
+
+    return to_json_rows(df).mapInPandas(batches, "value string")
 
 
 def write_topic(messages: DataFrame, servers: str, topic: str = TOPIC) -> None:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from delaycast.schemas import AIRPORTS
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bool = False) -> DataFrame:
     """CSV with a header under an explicit schema; an empty field is NULL.
@@ -16,6 +18,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multiline: bo
     return reader.option("multiLine", multiline).csv(path)
 
 
+def read_airports(spark: SparkSession, path: str) -> DataFrame:
+    """The airport dimension: a CSV with the columns ``icao`` and ``city``, one row per code."""
+    return read_csv(spark, path, AIRPORTS)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """A catalogued table or view by name."""
     return spark.table(name)

@@ -14,6 +14,8 @@ from delaycast.plans.model import score
 from delaycast.plans.registry import LatestModel
 from delaycast.schemas import MESSAGE_COLUMNS, MESSAGE_RECORD
 from delaycast.sinks.documents import write_batch
+from delaycast.sinks.topics import to_json_batches
+from delaycast.streaming.enrich import enrich_schedule
 from delaycast.streaming.messages import message_counts, message_rows
 
 # Fixed value: how often the producer side publishes.
@@ -59,10 +61,21 @@ def scored_documents(
     return deliver
 
 
-def published_messages(publish: Callable[[DataFrame], None], encode: Callable[[DataFrame], DataFrame]):
-    """A ``foreachBatch`` function that encodes the batch's rows as messages and publishes them."""
+def publish_schedules(
+    schedules: DataFrame,
+    airports: Callable[[], DataFrame],
+    weather: Callable[[], DataFrame],
+    publish: Callable[[DataFrame], None],
+    checkpoint: str,
+    every: str | None = PUBLISH_EVERY,
+) -> StreamingQuery:
+    """The producer side: enrich each batch of schedules and publish it as array messages.
+
+    The dimensions are opened anew for each batch, so it sees the newest weather. Delivery is at
+    least once: a batch that failed half-way is published again.
+    """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        publish(encode(batch))
+        publish(to_json_batches(enrich_schedule(batch, airports(), weather())))
 
-    return deliver
+    return start(schedules, deliver, checkpoint, every)

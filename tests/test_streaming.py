@@ -3,16 +3,15 @@ from pathlib import Path
 
 import pytest
 from pyspark.ml import PipelineModel
-from pyspark.sql import types as T
 
 from delaycast.plans import model
 from delaycast.plans.registry import LatestModel, publish_model
-from delaycast.schemas import FLIGHT_RECORD, MESSAGE_COLUMNS
-from delaycast.sinks.topics import to_json_rows, write_topic_files
+from delaycast.schemas import AIRPORTS, FLIGHT_RECORD, MESSAGE_COLUMNS
+from delaycast.sinks.topics import write_topic_files
 from delaycast.sources.topics import read_topic_files
 from delaycast.streaming.enrich import enrich_schedule
 from delaycast.streaming.messages import message_counts, message_rows
-from delaycast.streaming.pipelines import published_messages, score_messages, scored_documents, start
+from delaycast.streaming.pipelines import publish_schedules, score_messages, scored_documents, start
 from delaycast.workload.streams import drain
 from tests.conftest import tuples
 from tests.test_model import SCHEMA, training_rows
@@ -109,11 +108,20 @@ def test_scored_stream_delivers_once_and_takes_up_new_models(spark, folder, fitt
     assert isinstance(fitted[0], PipelineModel)
 
 
-def test_producer_side_publishes_each_batch(spark, folder):
-    record = T.StructType([T.StructField("airline_iata", T.StringType())])
-    publish(f"{folder}/in", "a.json", ['[{"airline_iata": "6E"}, {"airline_iata": "2F"}]'])
-    schedules = spark.readStream.schema(record).json(f"{folder}/in")
-    deliver = published_messages(lambda m: write_topic_files(m, f"{folder}/topic"), to_json_rows)
-    start(schedules, deliver, f"{folder}/checkpoint").awaitTermination()
-    values = sorted(r.value for r in spark.read.text(f"{folder}/topic").collect())
-    assert values == ['{"airline_iata":"2F"}', '{"airline_iata":"6E"}']
+def test_producer_publishes_what_the_consumer_reads(spark, folder):
+    flights = [
+        {"airline_iata": "6E", "dep_icao": "KMIA", "dep_iata": "MIA", "dep_time_utc": "2023-04-08 08:10", "duration": 60},
+        {"airline_iata": "2F", "dep_icao": "ZZZZ", "arr_icao": "KMIA", "arr_time_utc": "2023-04-08 09:00"},
+    ]
+    publish(f"{folder}/in", "a.json", [json.dumps(flights)])
+    schedules = spark.readStream.schema(FLIGHT_RECORD).json(f"{folder}/in")
+    airports = spark.createDataFrame([("KMIA", "Miami")], AIRPORTS)
+    weather = spark.createDataFrame([("Miami", "2023-04-08 09:00:00", "snow")], "city string, dt_txt string, weather_description string")
+    publish_schedules(
+        schedules, lambda: airports, lambda: weather, lambda m: write_topic_files(m, f"{folder}/topic"),
+        f"{folder}/checkpoint", every=None,
+    ).awaitTermination()
+    rows = message_rows(spark.read.text(f"{folder}/topic"))
+    assert tuples(rows) == sorted([
+        ("6E", None, None, "snow", "MIA", "2023-04-08 08:10", 60.0), ("2F", "snow", None, None, None, None, None),
+    ], key=repr)
