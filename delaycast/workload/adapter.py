@@ -86,7 +86,9 @@ def flights(spark: SparkSession, sf_dir: str) -> DataFrame:
 # the type the nested feed gives it.
 FORECAST = {
     "clouds_all": "CAST(n % 101 AS INT)",
-    "dt": "unix_timestamp(CAST(dt_txt AS TIMESTAMP_NTZ))",
+    # Seconds since 1970 by calendar arithmetic, whatever the session's time zone.
+    "dt": "CAST(unix_date(CAST(substring(dt_txt, 1, 10) AS DATE)) AS BIGINT) * 86400"
+    " + CAST(substring(dt_txt, 12, 2) AS BIGINT) * 3600",
     "main_feels_like": "low",
     "main_grnd_level": "CAST(last % 1000 AS DOUBLE)",
     "main_humidity": "CAST(n % 100 AS DOUBLE)",

@@ -68,7 +68,9 @@ SELECT flight_id, {_compat_sql('dep_time_utc')} AS dep_slot, {_compat_sql('arr_t
 def slot_3hr_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = adapter.schedule(spark, sf_dir)
     return flights.selectExpr(
-        "flight_id", f"{slot_3hr_compat('dep_time_utc')} AS dep_slot", f"{slot_3hr_compat('arr_time_utc')} AS arr_slot"
+        "flight_id",
+        f"{slot_3hr_compat('dep_time_utc')} AS dep_slot",
+        f"{slot_3hr_compat('arr_time_utc')} AS arr_slot",
     )
 
 
@@ -214,7 +216,8 @@ def city_lookup_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located.select("flight_id", "dep_city", "arr_city")
 
 
-@query("weather_dep_join", with_both(f"""SELECT flight_id, dep_city, dep_time_utc_3hr, weather_description AS dep_weather_description,
+@query("weather_dep_join", with_both(f"""
+SELECT flight_id, dep_city, dep_time_utc_3hr, weather_description AS dep_weather_description,
   main_temp AS dep_main_temp FROM flights f LEFT JOIN weather d ON {DEP_ON}"""))
 def weather_dep_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["weather_description", "main_temp"]
@@ -222,7 +225,8 @@ def weather_dep_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weather_join(located, adapter.weather(spark, sf_dir), "dep", columns)
 
 
-@query("weather_arr_join", with_both(f"""SELECT flight_id, arr_city, arr_time_utc_3hr, weather_description AS arr_weather_description,
+@query("weather_arr_join", with_both(f"""
+SELECT flight_id, arr_city, arr_time_utc_3hr, weather_description AS arr_weather_description,
   main_temp AS arr_main_temp FROM flights f LEFT JOIN weather a ON {ARR_ON}"""))
 def weather_arr_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["weather_description", "main_temp"]
@@ -316,7 +320,8 @@ def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return replace_columns(df, {c: f"round({c}, {digits})" for c in columns})
 
 
-@query("quartiles", f"""WITH {RAW} SELECT round(quantile_cont(delayed, 0.25), 6) AS q1, round(quantile_cont(delayed, 0.75), 6) AS q3
+@query("quartiles", f"""WITH {RAW}
+SELECT round(quantile_cont(delayed, 0.25), 6) AS q1, round(quantile_cont(delayed, 0.75), 6) AS q3
 FROM raw""")
 def delay_quartiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(quartiles(adapter.raw_flights(spark, sf_dir), "delayed"), "q1", "q3")

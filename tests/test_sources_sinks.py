@@ -134,7 +134,8 @@ def test_flight_table_reads_the_feeds_time_text(spark, folder):
 def test_replaced_table_may_read_itself(spark, folder):
     df = spark.createDataFrame([(1, 0.5)], "trial_id int, roc_auc double")
     replace_table(df, "evaluation_test", folder)
-    replace_table(read_table(spark, "evaluation_test").selectExpr("trial_id + 1 AS trial_id", "roc_auc"), "evaluation_test", folder)
+    raised = read_table(spark, "evaluation_test").selectExpr("trial_id + 1 AS trial_id", "roc_auc")
+    replace_table(raised, "evaluation_test", folder)
     assert read_metrics(spark, "evaluation_test") == [{"trial_id": 2, "roc_auc": 0.5}]
     spark.sql("DROP VIEW evaluation_test")
 
