@@ -76,8 +76,8 @@ def dual_role_weather(
 ) -> DataFrame:
     """Departure and arrival weather on each flight, from one weather table.
 
-    ``compat`` looks the arrival weather up by the departure city and slot, as the original
-    training query does; the default uses the arrival keys, as serving does.
+    ``compat`` looks the arrival weather up by the departure city and slot, to reproduce training
+    sets made that way; the default uses the arrival keys, as serving does.
     """
     side = latest_only(weather, columns) if dedupe else sized(weather)
     departed = weather_join(flights, side, DEPARTURE, columns, limit=limit)
