@@ -52,7 +52,9 @@ def test_query_equals_oracle(spark, oracle, name):
 
 
 def test_oracle_covers_all_but_the_trained_models():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == set(COLUMNS)
+    # The queries of the llm subpackage have tests of their own.
+    own = {name for registry in contract.REGISTRIES for name in registry.queries}
+    assert own - set(contract.oracle_sql()) == set(COLUMNS)
 
 
 def test_trained_queries_return_rows(spark):
