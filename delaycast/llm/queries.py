@@ -23,3 +23,12 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_digests(documents, tokenizer_path()).drop("text")
+
+
+@REGISTRY.query("op5_simhash")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, at most 3 bits."""
+    from delaycast.llm.simhash import SimHashParameters, simhash_components
+
+    found = simhash_components(table(spark, sf_dir, "documents"), SimHashParameters(words=3, distance=3))
+    return found.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
