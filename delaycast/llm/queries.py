@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from delaycast.llm import line_dedup
 from delaycast.llm.common import table
 from delaycast.workload.registry import Registry
 
@@ -32,3 +33,13 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     found = simhash_components(table(spark, sf_dir, "documents"), SimHashParameters(words=3, distance=3))
     return found.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
+
+
+LINE_DEDUP = line_dedup.LineDedupParameters()
+
+
+@REGISTRY.query("op10_line_dedup", line_dedup.oracle(LINE_DEDUP.min_words))
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without later copies of repeated line runs."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.dedup_lines(documents, LINE_DEDUP, removed="n_deleted")
