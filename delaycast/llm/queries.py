@@ -43,3 +43,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without later copies of repeated line runs."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(documents, LINE_DEDUP, removed="n_deleted")
+
+
+@REGISTRY.query("op4_string_tiling")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with every benchmark item that it leaks; clean documents have no row."""
+    from delaycast.llm.string_tiling import leaked_items
+
+    return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
