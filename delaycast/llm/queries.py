@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from delaycast.llm import line_dedup
-from delaycast.llm.common import table
+from delaycast.llm.common import crc_remainder, table
 from delaycast.workload.registry import Registry
 
 REGISTRY = Registry()
@@ -51,3 +52,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from delaycast.llm.string_tiling import leaked_items
 
     return leaked_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@REGISTRY.query("op6_factorization_machine")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; the machine never sees labels of the held-out quarter."""
+    from delaycast.llm.factorization import MachineParameters, quality_score, train_quality
+
+    documents, parameters = table(spark, sf_dir, "documents"), MachineParameters()
+    machine = train_quality(documents, table(spark, sf_dir, "labels"), parameters)
+    scored = documents.select("doc_id", quality_score(documents, machine, parameters).alias("score"))
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", 4) == 2).alias("held_out"),
+        "score",
+        (F.col("score") >= parameters.threshold).cast("int").alias("predicted"),
+    )
