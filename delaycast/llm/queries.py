@@ -68,3 +68,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= parameters.threshold).cast("int").alias("predicted"),
     )
+
+
+@REGISTRY.query("op1_randomness_battery")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document: patterns, and strings that the battery finds random."""
+    from delaycast.llm.secrets_scan import digest_columns, secret_spans
+
+    return digest_columns(secret_spans(table(spark, sf_dir, "documents")))
