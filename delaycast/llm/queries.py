@@ -76,3 +76,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from delaycast.llm.secrets_scan import digest_columns, secret_spans
 
     return digest_columns(secret_spans(table(spark, sf_dir, "documents")))
+
+
+@REGISTRY.query("op7_sorted_passes")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, component and keep mark of every vector, at cosine 0.98 within a label."""
+    from delaycast.llm.sorted_passes import PassParameters, near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), PassParameters(cosine=0.98))
