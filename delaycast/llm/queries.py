@@ -84,3 +84,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from delaycast.llm.sorted_passes import PassParameters, near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"), PassParameters(cosine=0.98))
+
+
+@REGISTRY.query("op2_association_rules")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, listed rule and verdict of every page's URL."""
+    from delaycast.llm.url_rules import judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
