@@ -92,3 +92,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     from delaycast.llm.url_rules import judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+@REGISTRY.query("op8_skip_chain")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: patterns, and what the skip-chain field adds."""
+    from delaycast.llm.skip_chain import digest_columns, personal_spans
+
+    return digest_columns(personal_spans(table(spark, sf_dir, "documents")))
