@@ -260,6 +260,12 @@ def _texts(batch: pa.Array) -> Iterator[str]:
         yield value.as_py() or ""
 
 
+def _lists(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+    values = np.concatenate([*rows, np.zeros(0, "<i4")])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+
+
 def read_model(path: str) -> tuple[str, bytes]:
     """The model file with a key of its content; checks on the driver that it can be used."""
     with open(path, "rb") as file:
@@ -278,10 +284,7 @@ def encode_ids(df: DataFrame, model_path: str, text: str = "text", into: str = "
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = worker_encoder(key, shared.value)
         for batch in batches:
-            rows = [np.frombuffer(encoder.encode(t), "<i4") for t in _texts(batch)]
-            ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-            values = np.concatenate([*rows, np.zeros(0, "<i4")])
-            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32()))
+            yield _lists([np.frombuffer(encoder.encode(t), "<i4") for t in _texts(batch)])
 
     return df.withColumn(into, encode(F.col(f"`{text}`")))
 
@@ -302,31 +305,38 @@ def decode_ids(df: DataFrame, model_path: str, ids: str = "ids", into: str = "te
     return df.withColumn(into, decode(F.col(f"`{ids}`")))
 
 
-def with_digests(df: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def with_digests(df: DataFrame, model_path: str, text: str = "text", ids: str | None = None) -> DataFrame:
     """Add n_tokens, ids_sha256 and decoded_sha256 of ``text``: encoded, decoded, digested in one pass.
 
-    Columns of these names are replaced.
+    ``ids`` names a column for the ids themselves. Columns of these names are replaced.
     """
     bound_batches(df.sparkSession)
     key, model = read_model(model_path)
     shared = df.sparkSession.sparkContext.broadcast(model)
+    with_ids = ids is not None
 
-    @F.arrow_udf(DIGEST_TYPE)
+    @F.arrow_udf(f"{DIGEST_TYPE[:-1]}, ids: {IDS_TYPE}>" if with_ids else DIGEST_TYPE)
     def digests(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = worker_encoder(key, shared.value)
         for batch in batches:
-            counts, encoded, decoded = [], [], []
+            counts, encoded, decoded, found = [], [], [], []
             for value in _texts(batch):
                 packed = encoder.encode(value)
-                back = encoder.decode(np.frombuffer(packed, "<u4").tolist())
-                counts.append(len(packed) // 4)
+                numbers = np.frombuffer(packed, "<i4")
+                back = encoder.decode(numbers.tolist())
+                counts.append(len(numbers))
                 encoded.append(hashlib.sha256(packed).hexdigest())
                 decoded.append(hashlib.sha256(back.encode()).hexdigest())
-            yield pa.StructArray.from_arrays(
-                [pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())],
-                ["n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+                found.append(numbers)
+            columns = [pa.array(counts, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())]
+            names = ["n_tokens", "ids_sha256", "decoded_sha256"]
+            if with_ids:
+                columns.append(_lists(found))
+                names.append("ids")
+            yield pa.StructArray.from_arrays(columns, names)
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
-    found = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in names], digests(F.col(f"`{text}`")).alias("_digests"))
-    return found.select(*[F.col(f"`{c}`") for c in found.columns if c != "_digests"], "_digests.*")
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in (*names, ids)]
+    parts = [F.col(f"_digests.{n}").alias(n) for n in names] + ([F.col("_digests.ids").alias(ids)] if with_ids else [])
+    found = df.select(*kept, digests(F.col(f"`{text}`")).alias("_digests"))
+    return found.select(*[F.col(f"`{c}`") for c in found.columns if c != "_digests"], *parts)
