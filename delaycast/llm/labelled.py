@@ -34,7 +34,8 @@ def labelled_sample(
     if chosen is None:
         chosen = usable.withColumn("weight", F.lit(1.0))
     chosen = chosen.selectExpr("doc_id AS _id", "label", "weight")
-    return documents.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "weight", *columns)
+    texts = documents.select("doc_id", *columns)  # other columns may have the names used here
+    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "weight", *columns)
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[list[dict]], object]) -> bytes:

@@ -100,3 +100,19 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from delaycast.llm.skip_chain import digest_columns, personal_spans
 
     return digest_columns(personal_spans(table(spark, sf_dir, "documents")))
+
+
+@REGISTRY.query("op3_gated_recurrent")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; the network never sees labels of the held-out third."""
+    from delaycast.llm.gated_recurrent import NetworkParameters, toxicity_score, train_toxicity
+
+    documents, parameters = table(spark, sf_dir, "documents"), NetworkParameters()
+    model = train_toxicity(documents, table(spark, sf_dir, "labels"), parameters)
+    scored = documents.select("doc_id", toxicity_score(documents, model, parameters).alias("score"))
+    return scored.select(
+        "doc_id",
+        (crc_remainder("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= parameters.threshold).cast("int").alias("predicted"),
+    )
