@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaycast.llm import line_dedup
+from delaycast.llm import line_dedup, sorted_passes, url_rules
 from delaycast.llm.common import crc_remainder, table
 from delaycast.workload.registry import Registry
 
 REGISTRY = Registry()
+LINE_DEDUP = line_dedup.LineDedupParameters()
+PASSES = sorted_passes.PassParameters(cosine=0.98)
+URLS = url_rules.UrlParameters()
 
 
 def tokenizer_path() -> str:
@@ -36,9 +39,6 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.selectExpr("doc_id", "lower(lpad(hex(fp), 16, '0')) AS fingerprint", "component_id")
 
 
-LINE_DEDUP = line_dedup.LineDedupParameters()
-
-
 @REGISTRY.query("op10_line_dedup", line_dedup.oracle(LINE_DEDUP.min_words))
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without later copies of repeated line runs."""
@@ -78,20 +78,16 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_columns(secret_spans(table(spark, sf_dir, "documents")))
 
 
-@REGISTRY.query("op7_sorted_passes")
+@REGISTRY.query("op7_sorted_passes", sorted_passes.oracle(PASSES.cosine))
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links, component and keep mark of every vector, at cosine 0.98 within a label."""
-    from delaycast.llm.sorted_passes import PassParameters, near_vectors
-
-    return near_vectors(table(spark, sf_dir, "embeddings"), PassParameters(cosine=0.98))
+    return sorted_passes.near_vectors(table(spark, sf_dir, "embeddings"), PASSES)
 
 
-@REGISTRY.query("op2_association_rules")
+@REGISTRY.query("op2_association_rules", url_rules.oracle(URLS))
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Host, path, listed rule and verdict of every page's URL."""
-    from delaycast.llm.url_rules import judge_urls
-
-    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URLS)
 
 
 @REGISTRY.query("op8_skip_chain")

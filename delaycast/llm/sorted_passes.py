@@ -240,3 +240,21 @@ def near_vectors(
     return placed.unionByName(single).selectExpr(
         "id AS vec_id", "links AS n_links", "root AS component_id", "id <=> root AS kept"
     )
+
+
+def oracle(cosine: float) -> str:
+    """SQL for the result over ``embeddings``, comparing all pairs of a label; ids must be unique."""
+    return f"""
+    WITH RECURSIVE parts AS (SELECT vec_id, unnest(CAST(embedding AS DOUBLE[])) AS x FROM embeddings),
+    norms AS (SELECT vec_id, sqrt(sum(x * x)) AS norm FROM parts GROUP BY vec_id
+        HAVING count(*) = count(CASE WHEN isfinite(x) THEN 1 END) AND count(CASE WHEN x <> 0 THEN 1 END) > 0),
+    sized AS (SELECT e.vec_id, e.label, CAST(e.embedding AS DOUBLE[]) AS v, n.norm
+        FROM embeddings e JOIN norms n ON e.vec_id = n.vec_id WHERE e.label IS NOT NULL),
+    links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM sized a JOIN sized b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND len(a.v) = len(b.v) WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= {cosine}),
+    reached AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+        UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+    counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+    lowest AS (SELECT a, min(b) AS low FROM reached GROUP BY a)
+    SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.low AS component_id, e.vec_id = l.low AS kept
+    FROM embeddings e JOIN lowest l ON e.vec_id = l.a LEFT JOIN counts c ON e.vec_id = c.a"""

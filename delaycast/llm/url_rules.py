@@ -181,3 +181,55 @@ def judge_urls(
     return judged.join(mined, "looked_up", "left").selectExpr(
         "page_id", "host", "path", "rule", "coalesce(listed, mined, 'allow') AS verdict", "mined"
     )
+
+
+def oracle(parameters: UrlParameters) -> str:
+    """SQL for page_id, host, path, rule, verdict, mined over ``pages`` and ``labels``: every subset of tokens is counted."""
+
+    def text(value: str) -> str:
+        return "'" + value.replace("'", "''") + "'"
+
+    listed = " UNION ALL ".join(
+        f"SELECT {text(r.verdict)} AS verdict, {text(r.host)} AS host, {text(r.path)} AS path" for r in parameters.listed
+    )
+    return f"""
+    WITH listed AS ({listed}),
+    cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN lower(substr(url, 1, strpos(url, '://') - 1)) ELSE '' END AS scheme,
+        CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    hosts AS (SELECT page_id, scheme, rest, regexp_extract(rest, '^[^/?#]*') AS authority FROM cut),
+    paths AS (SELECT page_id, scheme, translate(authority, '{UPPER}', '{LOWER}') AS host,
+        substr(rest, length(authority) + 1) AS after FROM hosts),
+    parts AS (SELECT row_number() OVER () AS n, page_id, scheme, host, regexp_extract(after, '^[^?#]*') AS path,
+        substr(after, length(regexp_extract(after, '^[^?#]*')) + 1) AS tail FROM paths),
+    fits AS (SELECT p.n, l.host || l.path AS rule, l.verdict,
+        row_number() OVER (PARTITION BY p.n ORDER BY length(l.host || l.path) DESC) AS nth
+        FROM parts p JOIN listed l ON (p.host = l.host OR ends_with(p.host, '.' || l.host)) AND starts_with(p.path, l.path)),
+    words AS (
+        SELECT n, 'scheme=' || scheme AS token FROM parts WHERE host <> ''
+        UNION SELECT n, 'host=' || host FROM parts WHERE host <> ''
+        UNION SELECT n, 'tld=' || regexp_extract(host, '[^.]*$') FROM parts WHERE host <> ''
+        UNION SELECT n, 'domain=' || regexp_extract(host, '([^.]*[.])?[^.]*$') FROM parts WHERE host <> ''
+        UNION SELECT n, 'first=' || regexp_extract(host, '^[^.]*') FROM parts WHERE host <> ''
+        UNION SELECT n, 'segment=' || regexp_replace(s, '[0-9]+', '0', 'g')
+            FROM (SELECT n, unnest(string_split(path, '/')) AS s FROM parts WHERE host <> '') WHERE s <> ''
+        UNION SELECT n, 'argument=' || regexp_replace(s, '[0-9]+', '0', 'g')
+            FROM (SELECT n, unnest(string_split(regexp_extract(tail, '^[?]([^#]*)', 1), '&')) AS s FROM parts WHERE host <> '') WHERE s <> ''
+        UNION SELECT n, 'fragment=' || regexp_extract(tail, '#(.*)$', 1) FROM parts WHERE host <> '' AND regexp_extract(tail, '#(.*)$', 1) <> ''),
+    numbered AS (SELECT n, token, row_number() OVER (PARTITION BY n ORDER BY token) - 1 AS bit FROM words),
+    masks AS (SELECT n, unnest(range(1, CAST(power(2, max(bit) + 1) AS BIGINT))) AS mask FROM numbered GROUP BY n),
+    subsets AS (SELECT m.n, m.mask, string_agg(w.token, ' ' ORDER BY w.token) AS part, count(*) AS size
+        FROM masks m JOIN numbered w ON m.n = w.n AND CAST(floor(m.mask / power(2, w.bit)) AS BIGINT) % 2 = 1 GROUP BY m.n, m.mask),
+    known AS (SELECT doc_id, max(quality) AS allowed FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+    decided AS (SELECT p.n, coalesce(f.verdict, CASE k.allowed WHEN 1 THEN 'allow' WHEN 0 THEN 'block' END) AS verdict
+        FROM parts p LEFT JOIN fits f ON p.n = f.n AND f.nth = 1 LEFT JOIN known k ON p.page_id = k.doc_id WHERE p.host <> ''),
+    counted AS (SELECT s.part, s.size, d.verdict, count(*) AS hits,
+        sum(count(*)) OVER (PARTITION BY s.part) AS total
+        FROM subsets s JOIN decided d ON s.n = d.n WHERE d.verdict IS NOT NULL GROUP BY s.part, s.size, d.verdict),
+    rules AS (SELECT part, size, verdict, CAST(hits AS DOUBLE) / total AS confidence, hits FROM counted
+        WHERE hits >= ceil({parameters.support} * (SELECT count(*) FROM decided WHERE verdict IS NOT NULL))
+        AND CAST(hits AS DOUBLE) / total >= {parameters.confidence}),
+    best AS (SELECT s.n, r.verdict, row_number() OVER (PARTITION BY s.n ORDER BY r.confidence DESC, r.hits DESC, r.size, r.part DESC) AS nth
+        FROM subsets s JOIN rules r ON s.part = r.part)
+    SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, b.verdict, 'allow') AS verdict,
+        CASE WHEN f.verdict IS NULL THEN b.verdict END AS mined
+    FROM parts p LEFT JOIN fits f ON p.n = f.n AND f.nth = 1 LEFT JOIN best b ON p.n = b.n AND b.nth = 1"""
