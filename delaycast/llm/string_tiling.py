@@ -22,6 +22,7 @@ null id are ignored; items of the same id are separate texts.
 from __future__ import annotations
 
 import re
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -221,10 +222,23 @@ class Benchmark:
         return out
 
 
+_indexes: dict[tuple, Benchmark] = {}
+
+
+def _worker_index(key: tuple, shared: Broadcast, parameters: TilingParameters) -> Benchmark:
+    """This worker's index of a block, built once; only the last block's is kept."""
+    if key not in _indexes:
+        _indexes.clear()
+        _indexes[key] = Benchmark(shared.value, parameters)
+    return _indexes[key]
+
+
 def _leak_column(shared: Broadcast, parameters: TilingParameters, text: str) -> Column:
+    key = (uuid.uuid4().hex, parameters)
+
     @F.arrow_udf(LEAK_TYPE)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        index = Benchmark(shared.value, parameters)
+        index = _worker_index(key, shared, parameters)
         kind = pa.list_(
             pa.struct([("item_id", pa.int64()), ("words", pa.int32()), ("covered", pa.int32()), ("tiles", pa.int32())])
         )
