@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from delaycast.llm.common import Memo, bound_batches
 from delaycast.llm.labelled import fit_in_task, labelled_sample
 
-WORD_MEMO, MEMO_CHARS = 300_000, 48
+WORD_MEMO, MEMO_CHARS = 100_000, 48
 UPPER = bytes(range(65, 91))
 DIGITS = b"0123456789"
 STOPS = b".,;:'\"()-?"
