@@ -37,8 +37,9 @@ from delaycast.llm.labelled import fit_in_task, labelled_sample
 EDGE = ".,;:!?()[]{}<>\"'*#$%&"
 GRAM_BITS, GRAM, EMBEDDING = 15, 4, 8
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << GRAM_BITS
-# Documents with a word before it gets an embedding; how much slower embeddings learn than gates.
-LEAST_DOCUMENTS, EMBEDDING_RATE = 3, 0.3
+# Documents with a word before it gets an embedding; how much slower embeddings learn than gates, once
+# the rarer label has so many documents (with fewer in proportion, or they would learn the documents by heart).
+LEAST_DOCUMENTS, EMBEDDING_RATE, EMBEDDING_DOCUMENTS = 8, 0.3, 1000
 INPUTS = 2 * EMBEDDING + 2
 # Words of a worker's table, words scored at a time, windows in one block of the recurrence.
 TABLE_WORDS, CHUNK_WORDS, BLOCK = 100_000, 50_000, 1024
@@ -389,6 +390,8 @@ def fit_network(rows: list[dict], parameters: NetworkParameters) -> Model:
     first = np.searchsorted(owners, np.arange(len(parts)))
     weights = np.array([r["weight"] for r in rows], np.float32)
     weights /= weights.mean()
+    rarer = min(float(labels.sum()), float(len(labels) - labels.sum()))
+    embedding_rate = EMBEDDING_RATE * min(1.0, rarer / EMBEDDING_DOCUMENTS)
     chance = np.random.default_rng(6)
     moments = [(np.zeros_like(w), np.zeros_like(w)) for w in network]
     step = 0
@@ -423,7 +426,7 @@ def fit_network(rows: list[dict], parameters: NetworkParameters) -> Model:
             np.add.at(d_grams, picked.grams, np.repeat(shared, picked.lengths, axis=0))
             d_words[~frequent_words] = 0
             d_grams[~frequent_grams] = 0
-            rates = [EMBEDDING_RATE, EMBEDDING_RATE, *[1.0] * len(found)]
+            rates = [embedding_rate, embedding_rate, *[1.0] * len(found)]
             for w, slope, (m, s), rate in zip(network, (d_words, d_grams, *found), moments, rates, strict=True):
                 m += 0.1 * (slope - m)
                 s += 0.01 * (slope * slope - s)
