@@ -158,7 +158,9 @@ def deleted_lines(
     intervals = runs.groupBy("lines", "head", "tail").agg(
         F.min(F.struct("doc", "twin", "at")).alias("first"), F.count("*").alias("size")
     )
-    copies = runs.join(intervals.where("size > 1"), ["lines", "head", "tail"]).where(
+    # Written first: between two exchanges adaptive execution can split the runs of a hot interval.
+    intervals = settle(intervals.where("size > 1"), "intervals")
+    copies = runs.join(intervals, ["lines", "head", "tail"]).where(
         F.struct("doc", "twin", "at") > F.col("first")
     )
     gone = copies.select("doc", "twin", F.explode(F.sequence("at", F.expr("at + lines - 1"))).alias("at"))
