@@ -12,12 +12,13 @@ def _larger_to_minimum(edges: DataFrame) -> DataFrame:
     """Point every neighbour of u that is larger than u to the smallest of u and its neighbours."""
     both = edges.unionByName(edges.selectExpr("v AS u", "u AS v"))
     least = both.groupBy("u").agg(F.min("v").alias("low")).selectExpr("u", "least(u, low) AS low")
+    least = settle(least, "least")
     return both.where("v > u").join(least, "u").selectExpr("v AS u", "low AS v").distinct()
 
 
 def _smaller_to_minimum(edges: DataFrame) -> DataFrame:
     """Point u and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("low"))
+    least = settle(edges.groupBy("u").agg(F.min("v").alias("low")), "least")
     moved = edges.join(least, "u").where("v <> low").selectExpr("v AS u", "low AS v")
     return moved.unionByName(least.selectExpr("u", "low AS v")).distinct()
 
@@ -28,8 +29,9 @@ def components(pairs: DataFrame, name: str = "components") -> DataFrame:
     Pairs may repeat and may come in either direction; those with a null or of a node with itself
     count for nothing. The rounds needed grow with the logarithm of the longest path. Each round is
     written to the shared folder, so neither its lineage nor a lost executor costs more than one
-    round. Minima are taken before rows meet by key, and the joins are plain equi-joins that
-    adaptive execution splits where a root has very many members.
+    round. Minima are taken before rows meet by key. They are written before they are joined, so
+    that each join stands between two exchanges and adaptive execution can split it where a root
+    has very many members.
     """
     links = pairs.where("a <> b").selectExpr("greatest(a, b) AS u", "least(a, b) AS v").distinct()
     links = settle(links, name)

@@ -207,7 +207,7 @@ def simhash_components(
         "fp", "first_id", "coalesce(root, fp) AS root"
     )
     placed = settle(placed, "placed")
-    lowest = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    lowest = settle(placed.groupBy("root").agg(F.min("first_id").alias("component_id")), "lowest")
     by_point = placed.join(lowest, "root").select("fp", "component_id")
     return rows.join(by_point, "fp").select("doc_id", "fp", "component_id")
 
