@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaycast.llm.common import settle, table
+from delaycast.llm.common import fresh_name, settle, table
 from delaycast.llm.factorization import MachineParameters, quality_score, train_quality
 from delaycast.llm.line_dedup import dedup_lines
 from delaycast.llm.piece_encoding import with_digests
@@ -31,8 +31,9 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated line runs; ``n_chars`` follows the text."""
-    shorter = dedup_lines(docs, LINE_DEDUP, removed="_removed")
-    length = F.when(F.col("_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    removed = fresh_name(docs, "removed")
+    shorter = dedup_lines(docs, LINE_DEDUP, removed=removed)
+    length = F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return shorter.withColumn("n_chars", length).select(*docs.columns)
 
 

@@ -33,6 +33,14 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def crc_remainder(doc_id: Column | str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; -1 for a null id."""
     column = F.col(doc_id) if isinstance(doc_id, str) else doc_id

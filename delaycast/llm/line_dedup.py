@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from delaycast.llm.common import bound_batches, settle
+from delaycast.llm.common import bound_batches, fresh_name, settle
 
 
 class LineDedupParameters(NamedTuple):
@@ -194,12 +194,13 @@ def dedup_lines(
     bound_batches(df.sparkSession)
     gone = settle(deleted_lines(df, parameters, doc_id, text), "gone")
     names = [c for c in df.columns if c != removed]
-    marks = gone.selectExpr("doc AS _doc", "twin AS _twin", "gone AS _gone")
-    joined = df.join(marks, (F.col(f"`{doc_id}`") == F.col("_doc")) & (F.xxhash64(f"`{text}`") == F.col("_twin")), "left")
+    doc, twin, lines = (fresh_name(df, n) for n in ("doc", "twin", "gone"))
+    marks = gone.selectExpr(f"doc AS {doc}", f"twin AS {twin}", f"gone AS {lines}")
+    joined = df.join(marks, (F.col(f"`{doc_id}`") == F.col(doc)) & (F.xxhash64(f"`{text}`") == F.col(twin)), "left")
     # Only texts that lose lines go through Python.
-    shorter = _without(F.when(F.col("_gone").isNotNull(), F.col(f"`{text}`")), F.col("_gone"))
+    shorter = _without(F.when(F.col(lines).isNotNull(), F.col(f"`{text}`")), F.col(lines))
     kept = [F.col(f"`{c}`") if c != text else F.coalesce(shorter, F.col(f"`{c}`")).alias(c) for c in names]
-    count = [] if removed is None else [F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias(removed)]
+    count = [] if removed is None else [F.coalesce(F.size(lines), F.lit(0)).cast("long").alias(removed)]
     return joined.select(*kept, *count)
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaycast.llm.common import Memo, bound_batches
+from delaycast.llm.common import Memo, bound_batches, fresh_name
 
 SPACE = "▁"
 UNEVEN = re.compile(f"  | \n|{SPACE}")
@@ -337,6 +337,6 @@ def with_digests(df: DataFrame, model_path: str, text: str = "text", ids: str |
 
     names = ["n_tokens", "ids_sha256", "decoded_sha256"]
     kept = [F.col(f"`{c}`") for c in df.columns if c not in (*names, ids)]
-    parts = [F.col(f"_digests.{n}").alias(n) for n in names] + ([F.col("_digests.ids").alias(ids)] if with_ids else [])
-    found = df.select(*kept, digests(F.col(f"`{text}`")).alias("_digests"))
-    return found.select(*[F.col(f"`{c}`") for c in found.columns if c != "_digests"], *parts)
+    packed = fresh_name(df, "digests")
+    parts = [F.col(f"{packed}.{n}").alias(n) for n in names] + ([F.col(f"{packed}.ids").alias(ids)] if with_ids else [])
+    return df.select(*kept, digests(F.col(f"`{text}`")).alias(packed)).select(*kept, *parts)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from delaycast.llm.common import bound_batches, settle
+from delaycast.llm.common import bound_batches, fresh_name, settle
 from delaycast.llm.components import components
 
 BITS = 64
@@ -221,5 +221,6 @@ def keep_one_each(
     has an id.
     """
     found = simhash_components(df, parameters, doc_id, text)
-    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    return df.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col("_kept")), "left_semi")
+    name = fresh_name(df, "kept")
+    kept = found.where("doc_id <=> component_id").select(F.col("doc_id").alias(name)).distinct()
+    return df.join(kept, F.col(f"`{doc_id}`").eqNullSafe(F.col(name)), "left_semi")

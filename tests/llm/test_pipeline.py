@@ -70,3 +70,40 @@ def test_stages_against_brute_force(spark, folder):
 def test_query_runs_all_stages(spark):
     found = contract.queries()["pipeline"](spark, contract.SMOKE_DIR)
     assert {"doc_id", "ids", "n_tokens"} <= set(found.columns) and 0 < found.count() < 200
+
+
+EDGE_COLUMNS = "doc_id long, text string, lang string, source string, n_chars long, score double, gone string, _gone int, _doc int, _kept int, _removed int, _digests int, ids string, fp int, label int, weight int"
+
+
+def edge_rows():
+    line = "one two three four five six seven eight nine"
+    texts = [None, "", "\n\n", line, f"{line}\n{line}", f"own words here\n{line}", "word " * 60_000, "x" * 200_000, f"own words here\n{line}", "Ünï ▁ 中文\x00"]
+    rows = [(i, t, None if i % 2 else "en", None, None if i % 3 else 7) for i, t in enumerate(texts)]
+    rows += [rows[4], rows[4], (None, line, None, None, None), (None, None, None, None, None)]
+    return [(*r, 0.5, "g", 1, 2, 3, 4, 5, "i", 6, 1, 9) for r in rows]
+
+
+def test_stages_on_edge_rows_and_empty_tables(spark, folder):
+    labels = [(i, int(i < 8), 0) for i in range(10)] + [(None, 1, None), (3, None, 0)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    items = [(1, "one two three four five six seven eight nine ten eleven"), (None, "a"), (2, None)]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    rows = edge_rows()
+    docs = spark.createDataFrame(rows, EDGE_COLUMNS)
+    for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        found = stage(spark, docs, folder)
+        if number < len(corpus_pipeline.STAGES) - 1:
+            assert found.columns == docs.columns
+        result = found.collect()
+        assert len(result) <= len(rows)
+        if number == 1:
+            kept = sorted((str(r.doc_id), r.text or "", r._gone) for r in result)
+            assert len(kept) == len(rows) and ("5", "own words here", 1) in kept and ("8", "own words here", 1) not in kept
+            assert [t for i, t, _ in kept if i == "None"] == ["", rows[3][1]]
+        if number == 2:
+            assert {r.doc_id for r in result} >= {0, 3, 6, 7, 9} and not {1, 2, 8} & {r.doc_id for r in result}
+        if number == 3:
+            assert {r.doc_id for r in result} == {0, 1, 2, 6, 7, 9, None}
+        if number == 4:
+            assert len(result) == len(rows) and all(r.ids[0] == 1 and r.ids[-1] == 2 and r._digests == 5 for r in result)
+        assert stage(spark, docs.limit(0), folder).count() == 0
