@@ -31,7 +31,7 @@ SPACE = "▁"
 UNEVEN = re.compile(f"  | \n|{SPACE}")
 UNITS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
 # Entries of the two memos of a worker, and the longest unit that is worth an entry.
-UNIT_MEMO, PAIR_MEMO, MEMO_CHARS = 100_000, 150_000, 48
+UNIT_MEMO, PAIR_MEMO, MEMO_CHARS = 200_000, 300_000, 48
 
 DIGEST_TYPE = "struct<n_tokens: bigint, ids_sha256: string, decoded_sha256: string>"
 IDS_TYPE = "array<int>"
