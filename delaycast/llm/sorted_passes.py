@@ -3,10 +3,20 @@
 A pass concatenates the signs of random projections to a hash and orders the vectors of a label by
 it, so that close vectors tend to stand close together. Every vector is compared with a bounded window
 of its neighbours, and links at or above the threshold are kept. With other projections other
-neighbours meet, and the links of all passes are united. For two vectors at the threshold 0.98 a
-sign differs with probability 0.064. To share a window among n vectors of a label, about
-log2(n / window) signs have to agree, so one pass finds seven of ten such pairs among ten thousand
-vectors and one of four among a billion; of twelve passes all fail once in a million, and once in thirty.
+neighbours meet, and the links of all passes are united.
+
+The projections go through the mean direction of all vectors of the label. How many passes a label gets
+follows from its row count n and its spread around the mean: to share a window, about log2(n / window)
+signs have to agree, and the spread tells with what chance a sign of a pair at the threshold does. The
+passes suffice for such a pair to be missed with probability ``miss``; ``passes`` is the least. Where
+windows would compare as much as comparing all pairs, all pairs are compared, in blocks. A hash has a few
+bits more than cut n vectors to windows if the cuts are even. Vectors that tie on it in a run longer than
+the window, as a cluster does, are a group of their own: with their own mean and further bits, and
+further passes if their spread asks for them, until no such run is left. Only runs so
+narrow that all their vectors must link stay as they are. Windows reach over the borders of partitions.
+
+The chance assumes that vectors lie around the mean evenly. It is a model and no guarantee: pairs of a
+cluster can part on the bits that come before the cluster is a group of its own.
 
 Equal vectors are taken together first. Inside a window the links that are handed on form a spanning
 forest, so a dense group of m vectors hands on m links and not m * m. All links lie inside the
@@ -20,42 +30,65 @@ further vectors; vectors that share an id share a component. Columns beside the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaycast.llm.common import bound_batches, settle
 from delaycast.llm.components import components
 
-HASH_BITS = 32
-# Vectors in a block of the exact count.
+# Most bits that a pass adds at a time, and by how many they exceed log2(n / window).
+HASH_BITS, SPARE_BITS = 32, 2
+# Vectors in a block where all pairs are compared.
 COUNT_BLOCK = 1024
+GROUP = ["label", "dim", "path"]
 
 
 class PassParameters(NamedTuple):
-    """Cosine from which vectors link; passes; neighbours on either side (``window`` to twice as many)."""
+    """Cosine from which vectors link; least passes; neighbours on either side (``window`` to twice as many);
+    chance to miss a pair at the threshold, from which further passes follow."""
 
     cosine: float = 0.98
     passes: int = 12
     window: int = 256
     seed: int = 20
+    miss: float = 0.001
+
+
+@lru_cache(maxsize=256)
+def projections(dimension: int, seed: int, level: int, number: int) -> np.ndarray:
+    """Random directions for the bits of one pass; the same everywhere."""
+    return np.random.default_rng([seed, dimension, level, number]).normal(size=(dimension, HASH_BITS))
+
+
+def pass_hashes(centred: np.ndarray, seed: int, level: int, number: int) -> np.ndarray:
+    """One hash for each vector, its first projection in the highest bit."""
+    signs = (centred @ projections(centred.shape[1], seed, level, number)) > 0
+    return signs @ (1 << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64))
 
 
-def projections(dimension: int, parameters: PassParameters) -> np.ndarray:
-    """Random directions for all bits of all passes; the same everywhere."""
-    chance = np.random.default_rng([parameters.seed, dimension])
-    return chance.normal(size=(dimension, parameters.passes * HASH_BITS))
+def directions(rows: np.ndarray) -> np.ndarray:
+    """Rows at length 1."""
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def pass_hashes(vectors: np.ndarray, parameters: PassParameters) -> np.ndarray:
-    """One hash for each vector and pass, its first projection in the highest bit."""
-    signs = (vectors @ projections(vectors.shape[1], parameters)) > 0
-    weights = 1 << np.arange(HASH_BITS - 1, -1, -1, dtype=np.int64)
-    return signs.reshape(len(vectors), parameters.passes, HASH_BITS) @ weights
+def passes_needed(n: int, spread: float, parameters: PassParameters) -> int:
+    """Passes after which a pair at the threshold is missed with chance ``miss``; ``spread`` is the mean
+    squared distance of the n directions from their mean."""
+    if n <= parameters.window:
+        return 1
+    turn = 1 - (1 - parameters.cosine) / max(spread, 1e-12)
+    agree = 1 - math.acos(min(1.0, max(0.0, turn))) / math.pi
+    meet = agree ** math.log2(n / parameters.window)
+    return max(1, math.ceil(math.log(parameters.miss) / math.log1p(-meet))) if meet < 1 - 1e-12 else 1
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -104,54 +137,230 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             yield batch.slice(a, b - a)
 
 
-def pass_links(vectors: DataFrame, parameters: PassParameters) -> DataFrame:
-    """(a, b): links that connect what the passes' windows link, of vectors (id, label, dim, vector)."""
-    cosine, window = parameters.cosine, parameters.window
+def group_means(rows: DataFrame) -> DataFrame:
+    """(label, dim, path, n, centre): the mean direction of each group of rows, from all of them."""
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in groups([batch], ["dim"]):
+                index: dict = {}
+                keys = zip(*(part.column(c).to_pylist() for c in GROUP), strict=True)
+                numbers = [index.setdefault(k, len(index)) for k in keys]
+                total = np.zeros((len(index), part.column("dim")[0].as_py()))
+                np.add.at(total, numbers, directions(matrix(part.column("vector"))))
+                columns = [pa.array(c, part.schema.field(n).type) for n, c in zip(GROUP, zip(*index, strict=True), strict=True)]
+                columns += [pa.array(np.bincount(numbers)), pa.array(list(total), pa.list_(pa.float64()))]
+                yield pa.RecordBatch.from_arrays(columns, [*GROUP, "n", "sums"])
+
+    label = rows.schema["label"].dataType.simpleString()
+    partial = rows.select(*GROUP, "vector").mapInArrow(sums, f"label {label}, dim int, path binary, n long, sums array<double>")
+    places = partial.select(*GROUP, "n", F.posexplode("sums").alias("place", "x"))
+    means = places.groupBy(*GROUP, "place").agg(F.sum("n").alias("n"), (F.sum("x") / F.sum("n")).alias("x"))
+    means = means.groupBy(*GROUP).agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("place", "x"))).alias("c"))
+    return means.selectExpr(*GROUP, "n", "transform(c, p -> p.x) AS centre")
+
+
+def with_passes(means: DataFrame, level: int, parameters: PassParameters) -> DataFrame:
+    """Adds ``passes``; 0 where all pairs are to be compared."""
+
+    @F.udf("int")
+    def passes(n: int, centre: list[float]) -> int:
+        needed = passes_needed(n, 1 - sum(x * x for x in centre), parameters)
+        if level:  # other passes have such runs, too; a quarter of them is taken to hold a pair together
+            needed, least = math.ceil(4 * needed / parameters.passes), 1
+        else:
+            least = parameters.passes if n > parameters.window else 1
+        return 0 if needed > least and needed * 2 * parameters.window >= n else max(least, needed)
+
+    bits = f"int(least({HASH_BITS}, {SPARE_BITS} + greatest(1, ceil(log2(n / {parameters.window}D)))))"
+    return means.withColumn("passes", passes("n", "centre")).withColumn("bits", F.expr(bits))
+
+
+def deal(rows: DataFrame, level: int, parameters: PassParameters) -> DataFrame:
+    """Rows (label, dim, path, id, vector, centre, passes, bits) once for each pass, which ``path`` goes on with."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, ["dim"]):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                hashes = pass_hashes(matrix(part.column("vector")), parameters)
-                for number in range(parameters.passes):
-                    columns = [pa.array(np.full(part.num_rows, number, np.int32)), part.column("label"), part.column("dim")]
-                    columns += [pa.array(hashes[:, number]), part.column("id"), part.column("vector")]
-                    yield pa.RecordBatch.from_arrays(columns, ["pass", "label", "dim", "hash", "id", "vector"])
+                centred = directions(matrix(part.column("vector"))) - matrix(part.column("centre"))
+                passes = part.column("passes").to_numpy()
+                unused = HASH_BITS - part.column("bits").to_numpy().astype(np.int64)
+                for number in range(passes.max()):
+                    some = np.flatnonzero(passes > number)
+                    hashes = pass_hashes(centred[some], parameters.seed, level, number)
+                    hashes = (hashes >> unused[some] << unused[some]).tolist()
+                    taken, start = part.take(pa.array(some)), number.to_bytes(4)
+                    paths = [p + start + h.to_bytes(HASH_BITS // 8) for p, h in zip(taken.column("path").to_pylist(), hashes, strict=True)]
+                    columns = [taken.column("label"), taken.column("dim"), pa.array(paths, pa.binary())]
+                    yield pa.RecordBatch.from_arrays([*columns, taken.column("id"), taken.column("vector")], [*GROUP, "id", "vector"])
+
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in ("label", "vector")}
+    return rows.select(*GROUP, "id", "vector", "centre", "passes", "bits").mapInArrow(
+        spread, f"label {kinds['label']}, dim int, path binary, id long, vector {kinds['vector']}"
+    )
+
+
+def pass_orders(vectors: DataFrame, parameters: PassParameters) -> tuple[DataFrame, list[DataFrame]]:
+    """Vectors in the orders of the passes, by ``path``; and groups in which all pairs are to be compared."""
+    rows = vectors.select("label", "dim", F.expr("X''").alias("path"), "id", "vector")
+    means, level, done, whole = group_means(rows), 0, None, []
+    while True:
+        means = settle(with_passes(means, level, parameters), "pass_groups")
+        if means.where("passes = 0").limit(1).count():
+            whole.append(rows.join(means.where("passes = 0").select(*GROUP, "n"), GROUP))
+        dealt = deal(rows.join(means.where("passes > 0"), GROUP), level, parameters)
+        runs = dealt.groupBy(*GROUP).agg(F.count("*").alias("n")).where(f"n > {parameters.window}")
+        runs = settle(runs.select(*GROUP), "tie_runs")
+        if not runs.limit(1).count():
+            return dealt if done is None else done.unionByName(dealt), whole
+        tied = settle(dealt.join(runs, GROUP), "tied")
+        # All directions of n stand within sqrt(n * spread) of their mean: below this bound all of them link.
+        narrow = f"n * (1 - aggregate(centre, 0D, (s, x) -> s + x * x)) <= greatest({(1 - parameters.cosine) / 2!r}D, n * 1e-12D)"
+        means = settle(group_means(tied).where(f"NOT ({narrow})"), "tie_means")
+        rows, level = tied, level + 1
+        left = dealt.join(means.select(*GROUP), GROUP, "left_anti")
+        done = left if done is None else done.unionByName(left)
+        rows = rows.join(means.select(*GROUP), GROUP, "left_semi")
+
+
+def whole_links(rows: DataFrame, cosine: float) -> DataFrame:
+    """(a, b): links that connect what links in each group (label, dim, path, n), all pairs by blocks."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if parts:
+                block = pa.Table.from_batches(parts).combine_chunks()
+                vectors = matrix(block.column("vector").chunk(0))
+                yield pairs(block.column("id").to_numpy(), window_forest(linked(vectors, vectors, cosine), 0))
+
+        for part in groups(batches, [*GROUP, "first", "second"]):
+            key = tuple(part.column(c)[0].as_py() for c in (*GROUP, "first", "second"))
+            if key != held:
+                yield from found()
+                held, parts = key, []
+            parts.append(part)
+        yield from found()
+
+    placed = rows.withColumn("blocks", F.expr(f"int(ceil(n / {COUNT_BLOCK}D))"))
+    placed = placed.withColumn("block", F.expr("int(pmod(xxhash64(id, vector), blocks))"))
+    met = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
+        *GROUP, "least(block, other) AS first", "greatest(block, other) AS second", "id", "vector"
+    )
+    keys = [*GROUP, "first", "second"]
+    return met.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
+
+
+def pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array(ids[[f[side] for f in found]] if found else [], pa.int64()) for side in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
+def border_links(compared: DataFrame, parameters: PassParameters) -> DataFrame:
+    """(a, b): links between the last window of a partition and the first of what follows it."""
+    ends = compared.where("tail").groupBy("part").agg(F.max("at").alias("at")).collect()  # one row a partition
+    sizes = sorted((r["part"], r["at"] + 1) for r in ends)
+    reach = []
+    for i, (border, _) in enumerate(sizes):
+        offset = 0
+        for part, size in sizes[i + 1 :]:
+            if offset >= parameters.window:
+                break
+            reach.append((part, offset, border))
+            offset += size
+    reached = compared.sparkSession.createDataFrame(reach, "part int, offset long, border int")
+    heads = compared.where("NOT tail").join(F.broadcast(reached), "part").where(f"at + offset < {parameters.window}")
+    columns = ["border", "label", "dim", "side", "a", "vector"]
+    both = heads.withColumn("side", F.lit(1)).select(*columns).unionByName(
+        compared.where("tail").selectExpr("part AS border", "0 AS side", "*").select(*columns)
+    )
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, parts = None, []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            if parts:
+                block = pa.Table.from_batches(parts).combine_chunks()
+                vectors, before = matrix(block.column("vector").chunk(0)), int((block.column("side").to_numpy() == 0).sum())
+                if 0 < before < len(vectors):
+                    yield pairs(block.column("a").to_numpy(), window_forest(linked(vectors, vectors, parameters.cosine), before))
+
+        for part in groups(batches, ["border", "label", "dim"]):
+            key = tuple(part.column(c)[0].as_py() for c in ("border", "label", "dim"))
+            if key != held:
+                yield from found()
+                held, parts = key, []
+            parts.append(part)
+        yield from found()
+
+    order = ["border", "label", "dim", "side"]
+    return both.repartition("border").sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+
+
+def pass_links(vectors: DataFrame, parameters: PassParameters) -> DataFrame:
+    """(a, b): links that connect what the passes' windows link, of vectors (id, label, dim, vector)."""
+    cosine, window = parameters.cosine, parameters.window
+    ordered, whole = pass_orders(vectors, parameters)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, known = None, 0
         ids, rows = np.zeros(0, np.int64), np.zeros((0, 0))
+        number, at, tail = TaskContext.get().partitionId(), 0, []
+        names = ["a", "b", "part", "at", "tail", "label", "dim", "vector"]
 
         def links(final: bool) -> Iterator[pa.RecordBatch]:
             nonlocal ids, rows, known
             while len(ids) - known >= (1 if final else window):
                 size = min(len(ids), known + window)
-                found = window_forest(linked(rows[:size], rows[:size], cosine), known)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[[f[0] for f in found]], pa.int64()), pa.array(ids[[f[1] for f in found]], pa.int64())],
-                    ["a", "b"],
-                )
+                found = pairs(ids, window_forest(linked(rows[:size], rows[:size], cosine), known))
+                kinds = [pa.int32(), pa.int64(), pa.bool_(), *(schema.field(n).type for n in names[5:])]
+                yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(found.num_rows, k) for k in kinds)], names)
                 ids, rows = ids[known:], rows[known:]
                 known = size - known
 
-        for part in groups(batches, ["pass", "label", "dim"]):
-            key = tuple(part.column(c)[0].as_py() for c in ("pass", "label", "dim"))
-            if key != group:
-                yield from links(True)
-                group, known = key, 0
-                ids, rows = np.zeros(0, np.int64), np.zeros((0, key[2]))
-            ids = np.concatenate([ids, part.column("id").to_numpy()])
-            rows = np.concatenate([rows, matrix(part.column("vector"))])
-            yield from links(False)
+        def border(batch: pa.RecordBatch, first: int, last: bool) -> pa.RecordBatch:
+            n = batch.num_rows
+            columns = [batch.column("id"), pa.nulls(n, pa.int64()), pa.array([number] * n, pa.int32())]
+            columns += [pa.array(range(first, first + n), pa.int64()), pa.array([last] * n)]
+            return pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in names[5:])], names)
+
+        for batch in batches:
+            schema = batch.schema
+            if at < window:
+                yield border(batch.slice(0, window - at), at, False)
+            at += batch.num_rows
+            tail.append(batch)
+            while sum(b.num_rows for b in tail[1:]) >= window:
+                tail.pop(0)
+            for part in groups([batch], ["label", "dim"]):
+                key = tuple(part.column(c)[0].as_py() for c in ("label", "dim"))
+                if key != group:
+                    yield from links(True)
+                    group, known = key, 0
+                    ids, rows = np.zeros(0, np.int64), np.zeros((0, key[1]))
+                ids = np.concatenate([ids, part.column("id").to_numpy()])
+                rows = np.concatenate([rows, matrix(part.column("vector"))])
+                yield from links(False)
         yield from links(True)
+        first = at - sum(b.num_rows for b in tail)
+        for batch in tail:
+            skipped = min(batch.num_rows, max(0, at - window - first))
+            yield border(batch.slice(skipped), first + skipped, True)
+            first += batch.num_rows
 
     kind = vectors.schema["vector"].dataType.simpleString()
     label = vectors.schema["label"].dataType.simpleString()
-    wide = vectors.select("label", "dim", "id", "vector").mapInArrow(
-        spread, f"pass int, label {label}, dim int, hash long, id long, vector {kind}"
+    order = [*GROUP, "id"]
+    compared = ordered.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+        compare, f"a long, b long, part int, at long, tail boolean, label {label}, dim int, vector {kind}"
     )
-    order = ["pass", "label", "dim", "hash", "id"]
-    return wide.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+    compared = settle(compared, "compared")
+    found = compared.where("part IS NULL").select("a", "b").unionByName(border_links(compared, parameters))
+    for rows in whole:
+        found = found.unionByName(whole_links(rows, cosine))
+    return found
 
 
 def _count_in_blocks(cosine: float) -> Callable:

@@ -57,6 +57,57 @@ def test_small_windows_chains_and_dense_groups(spark, monkeypatch):
         assert found[row[0]] == (links, component, row[0] == component)
 
 
+def test_similar_label_and_tie_runs(spark):
+    """Planted pairs in a label whose vectors share a direction, and in one tight cluster of a label."""
+    chance = np.random.default_rng(3)
+    shared = chance.normal(size=32)
+    shared /= np.linalg.norm(shared)
+
+    def around(count, spread):
+        away = chance.normal(size=(count, 32))
+        away /= np.linalg.norm(away, axis=1, keepdims=True)
+        return shared * math.sqrt(1 - spread) + away * math.sqrt(spread)
+
+    similar, cluster = around(1500, 0.2), around(600, 0.05)
+    twins = similar[:150] + chance.normal(size=(150, 32)) * 0.185 / math.sqrt(32)
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(np.concatenate([similar, twins]))]
+    rows += [(5000 + i, v.tolist(), 2) for i, v in enumerate(np.concatenate([cluster, chance.normal(size=(900, 32))]))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r.vec_id: (r.n_links, r.component_id) for r in sp.near_vectors(df, sp.PassParameters(window=8)).collect()}
+    expected = dict(zip((r[0] for r in rows), plain(rows)))
+    linked = [i for i, e in expected.items() if e[0]]
+    assert len(linked) >= 150
+    assert sum(found[i] == expected[i] for i in linked) >= 0.99 * len(linked)
+
+
+def test_windows_reach_over_borders(spark):
+    """One order of many partitions links all that stand within a window of each other."""
+    rows = [(i, [math.cos(i / 50), math.sin(i / 50)], 1) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr(
+        "0 AS label", "2 AS dim", "cast(lpad(vec_id, 5, '0') as binary) AS path", "vec_id AS id", "embedding AS vector"
+    )
+    before = sp.pass_orders
+    sp.pass_orders = lambda vectors, parameters: (df.repartitionByRange(60, "path"), [])
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        links = sp.pass_links(df, sp.PassParameters(window=8)).collect()
+    finally:
+        sp.pass_orders = before
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    parent = list(range(150))
+
+    def top(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in links:
+        parent[top(a)] = top(b)
+    assert len({top(i) for i in range(150)}) == 1
+
+
 def test_edge_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
