@@ -7,7 +7,8 @@ potential; distant ones share a skip potential if they are the same token, punct
 aside, or carry the same five or more digits. Each occurrence is linked to the one before it, so a
 token that occurs a thousand times has a thousand links and not their square. Loopy belief propagation
 carries labels along both kinds of links through the whole document, so that what is plain in one place
-holds where it is not. The field is fitted on a bounded sample of documents, labelled by the patterns;
+holds where it is not. A round is a sweep forward and one backward, each in time linear in the links, so
+evidence crosses any number of links in one; rounds go on until no message changes by more than a tolerance. The field is fitted on a bounded sample of documents, labelled by the patterns;
 the pattern hint and the token's looks are hidden at random in fitting, so that context, neighbours and
 repetitions get weights of their own; tokens that repeat a match without matching are left out. Runs of tokens with the same label and a high enough belief become
 spans, unless they touch a pattern's span.
@@ -47,6 +48,8 @@ LETTERS = re.compile(r"[^\W\d_]+")
 EDGE = ".,;:!?()[]{}<>\"'"
 LABELS = 1 + len(KINDS)
 WEIGHTS = 1 << 12
+# Messages that change less than this have converged.
+TOLERANCE = 1e-4
 SKIP_PRIOR = 1.5
 
 FOUND_TYPE = (
@@ -61,7 +64,8 @@ TOKEN_KIND = pa.struct(
 
 
 class FieldParameters(NamedTuple):
-    """``belief`` that makes a span; ``rounds`` of messages; the bounds of the sample (documents, tokens in
+    """``belief`` that makes a span; ``rounds`` of messages after which those that
+    still change are damped more and more; the bounds of the sample (documents, tokens in
     all and of one document); how to fit."""
 
     belief: float = 0.9
@@ -209,10 +213,25 @@ class Graph:
         self.left = np.concatenate([chain - 1, skip[:, 0]])
         self.right = np.concatenate([chain, skip[:, 1]])
         self.is_chain = np.arange(len(self.left)) < len(chain)
+        self.forward = self._levels(self.left, self.right, range(self.size))
+        self.backward = self._levels(self.right, self.left, range(self.size - 1, -1, -1))
         # A neighbour that is no variable is fixed to label 0.
         self.fixed_before = ~joined
         self.fixed_after = ~np.append(joined[1:], False)
 
+    def _levels(self, source: np.ndarray, target: np.ndarray, order: range) -> list[np.ndarray]:
+        """Links by the level of their target: all links into their sources are on earlier levels."""
+        into: dict[int, list[int]] = {}
+        for a, b in zip(source.tolist(), target.tolist(), strict=True):
+            into.setdefault(b, []).append(a)
+        level = [0] * self.size
+        for token in order:
+            if token in into:
+                level[token] = 1 + max(level[a] for a in into[token])
+        levels = np.array(level, np.int64)[target]
+        ranked = np.argsort(levels, kind="stable")
+        return np.split(ranked, np.flatnonzero(np.diff(levels[ranked])) + 1) if len(ranked) else []
+
     def known(self) -> np.ndarray:
         """Tokens whose label the patterns tell: those that match, and those that repeat none that does."""
         matched = self.base >= 0
@@ -234,7 +253,7 @@ class Graph:
         return rows
 
     def beliefs(self, unary: np.ndarray, field: Field, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Beliefs of the variables and of the links, by damped loopy propagation."""
+        """Beliefs of the variables and of the links, by loopy propagation until it converges."""
         pair = np.where(self.is_chain[:, None, None], field.chain, field.skip)
         pair = np.exp(pair - pair.max(axis=(1, 2), keepdims=True)) if len(pair) else pair
         to_right = np.full((len(self.left), LABELS), 1 / LABELS)
@@ -250,14 +269,26 @@ class Graph:
             values = np.exp(logs - logs.max(axis=-1, keepdims=True))
             return values / values.sum(axis=-1, keepdims=True)
 
-        for _ in range(rounds if len(self.left) else 0):
+        def sweep(logs: np.ndarray, levels: list[np.ndarray], right: bool, step: float) -> float:
+            """Send all messages of one direction in order; the largest change."""
+            source, target = (self.left, self.right) if right else (self.right, self.left)
+            own, back = (to_right, to_left) if right else (to_left, to_right)
+            largest = 0.0
+            for links in levels:
+                sent = normal(logs[source[links]] - np.log(back[links]))
+                new = np.einsum("ei,eij->ej" if right else "ej,eij->ei", sent, pair[links])
+                new = (1 - step) * own[links] + step * new / new.sum(axis=1, keepdims=True) + 1e-12
+                np.add.at(logs, target[links], np.log(new) - np.log(own[links]))
+                largest = max(largest, float(np.abs(new - own[links]).max()))
+                own[links] = new
+            return largest
+
+        change, number = 1.0 if len(self.left) else 0.0, 0
+        while change > TOLERANCE:
+            step = 1.0 if number == 0 else 0.7 * 0.9 ** max(0, number - rounds)
             logs = total()
-            from_left = normal(logs[self.left] - np.log(to_left))
-            from_right = normal(logs[self.right] - np.log(to_right))
-            new_right = np.einsum("ei,eij->ej", from_left, pair)
-            new_left = np.einsum("ej,eij->ei", from_right, pair)
-            to_right = 0.3 * to_right + 0.7 * new_right / new_right.sum(axis=1, keepdims=True) + 1e-12
-            to_left = 0.3 * to_left + 0.7 * new_left / new_left.sum(axis=1, keepdims=True) + 1e-12
+            change = max(sweep(logs, self.forward, True, step), sweep(logs, self.backward, False, step))
+            number += 1
         logs = total()
         ends = normal(logs[self.left] - np.log(to_left))[:, :, None] * normal(logs[self.right] - np.log(to_right))[:, None, :]
         links = ends * pair

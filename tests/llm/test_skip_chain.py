@@ -63,6 +63,18 @@ def test_beliefs_equal_enumeration_on_a_tree():
     assert beliefs == pytest.approx(sums / sums.sum(axis=1, keepdims=True), abs=1e-4)
 
 
+def test_evidence_reaches_fifty_repetitions():
+    field = sc.Field(np.zeros((sc.WEIGHTS, 5)), np.zeros((5, 5)), np.zeros((5, 5)), 8 * np.eye(5))
+    graph = sc.Graph([sc.describe("call 5550199 now " * 50)[1]])
+    assert graph.size == 50 and len(graph.left) == 49
+    unary = np.zeros((50, 5))
+    unary[0, 4] = 20  # plain in the first place only
+    keep = (np.exp(8) - 1) / (np.exp(8) + 4)  # share of the evidence that a link carries on
+    beliefs, _ = graph.beliefs(unary, field, sc.FieldParameters().rounds)
+    assert beliefs[:, 4] == pytest.approx([0.2 + 0.8 * keep**i for i in range(50)], abs=1e-3)
+    assert beliefs[-1, 4] >= sc.FieldParameters().belief
+
+
 def test_fixed_neighbours_count_as_label_zero():
     field = sc.Field(np.zeros((sc.WEIGHTS, 5)), np.zeros((5, 5)), np.arange(25.0).reshape(5, 5), np.zeros((5, 5)))
     graph = sc.Graph([sc.describe("a 1 b 2 3 c")[1]])
