@@ -12,12 +12,15 @@ candidate then passes a battery against the hypothesis that its characters are r
 combined by Fisher's method. A candidate that any of this rejects is structured and no secret. Short
 runs of ordinary text can look random, so each of the rest is also tested against the hypothesis that it
 is text: the coincidences of equal characters (the chi-squared statistic in other units) have a mean and
-a variance for any length, given the letter frequencies of the whole corpus. The Benjamini-Hochberg
-procedure, applied to each class of lengths by itself, bounds the share of false discoveries, so the
+a variance for any length, given the letter frequencies of the whole corpus. Where the alphabet is so
+small that random strings have about the coincidences of text (hexadecimal, base32, base36), the runs
+of letters and of digits tell: text seldom changes between a letter and a digit, and the changes of a run
+are tested against the rate of the corpus, taken as ``CHANGE_RATE`` at least. A run counts by the better of
+the two scores, with twice its p-value. The Benjamini-Hochberg procedure, applied to each class of lengths by itself, bounds the share of false discoveries, so the
 weak tests of the many short runs cannot borrow from the strong ones of the few long runs.
 
 One pass over the texts finds patterns, candidates and letter counts. Everything that is gathered is
-26 letter counts and a histogram of some hundred bins for each length class.
+26 letter counts, a count of changes, and a histogram of some hundred bins for each length class.
 
 A null text counts as empty and has no spans. Rows do not interact beyond the statistics, so repeated
 rows and null ids get the answer of their text. Positions are code points, ends are exclusive.
@@ -66,10 +69,13 @@ WORD_SETS = (frozenset(LOWER), frozenset(UPPER), frozenset(DIGITS))
 # Lower ends of the length classes, and the resolution of the histogram of text scores.
 LENGTH_CLASSES = (20, 24, 32, 48, 96)
 BINS_PER_UNIT, BINS = 10, 400
+# Least rate of changes between a letter and a digit that text is taken to have, by characters.
+CHANGE_RATE = 0.02
+DIGIT_AFTER, DIGIT_BEFORE = re.compile("(?<=[A-Za-z])[0-9]"), re.compile("[0-9](?=[A-Za-z])")
 
 SCAN_TYPE = (
     "struct<spans: array<struct<start: int, kind: int, stop: int>>,"
-    " tests: array<struct<start: int, stop: int, length: int, coincidences: double, randomness: double>>,"
+    " tests: array<struct<start: int, stop: int, length: int, coincidences: double, changes: int, randomness: double>>,"
     " letters: array<bigint>>"
 )
 
@@ -106,6 +112,11 @@ def coincidences(run: str) -> int:
     return sum(n * (n - 1) // 2 for n in (run.count(c) for c in set(run)))
 
 
+def changes(run: str) -> int:
+    """Letters next to a digit, by pairs."""
+    return len(DIGIT_AFTER.findall(run)) + len(DIGIT_BEFORE.findall(run))
+
+
 def uniformity(values: list[int], size: int) -> float:
     """p-value of the chi-squared test that all ``size`` symbols are equally likely."""
     n = len(values)
@@ -173,7 +184,7 @@ def long_words(text: str, least: int) -> list[tuple[int, str]]:
     return out
 
 
-def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float, float]]]:
+def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float, int, float]]]:
     """The base spans of a text, and its candidates with the figures of their tests."""
     words = long_words(text, CANDIDATE_LEAST)
     tests = []
@@ -181,24 +192,27 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
         for m in CANDIDATE.finditer(word):
             encoding = infer_encoding(m[0])
             if encoding and len(run := m[0].rstrip("=")) >= CANDIDATE_LEAST:
-                tests.append((at + m.start(), at + m.end(), len(run), float(coincidences(run)), randomness(m[0], encoding)))
+                figures = float(coincidences(run)), changes(run), randomness(m[0], encoding)
+                tests.append((at + m.start(), at + m.end(), len(run), *figures))
     return base_spans(text, words), tests
 
 
 def _scan_batch(texts: list[str | None]) -> pa.Array:
     spans, tests = [], []
-    letters = [0] * 26
+    letters = [0] * 27  # and the changes between letters and digits
     for text in texts:
         found, tested = scan(text or "")
         spans.append([dict(zip(("start", "kind", "stop"), s, strict=True)) for s in found])
-        names = ("start", "stop", "length", "coincidences", "randomness")
+        names = ("start", "stop", "length", "coincidences", "changes", "randomness")
         tests.append([dict(zip(names, t, strict=True)) for t in tested])
         raw = (text or "").encode().lower()
         for i in range(26):
             letters[i] += raw.count(97 + i)
+        letters[26] += changes(text or "")
     span = pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("stop", pa.int32())])
     test = pa.struct(
-        [("start", pa.int32()), ("stop", pa.int32()), ("length", pa.int32()), ("coincidences", pa.float64()), ("randomness", pa.float64())]
+        [("start", pa.int32()), ("stop", pa.int32()), ("length", pa.int32()), ("coincidences", pa.float64())]
+        + [("changes", pa.int32()), ("randomness", pa.float64())]
     )
     # The letters of a whole batch stand in its first row.
     counts = [letters, *[None] * (len(texts) - 1)] if texts else []
@@ -208,12 +222,13 @@ def _scan_batch(texts: list[str | None]) -> pa.Array:
     )
 
 
-def letter_moments(scanned: DataFrame) -> tuple[float, float]:
-    """Sums of the squares and of the cubes of the corpus's letter frequencies."""
+def letter_moments(scanned: DataFrame) -> tuple[float, float, float]:
+    """Sums of the squares and of the cubes of the corpus's letter frequencies; changes to or from a digit by letter."""
     counts = scanned.select(F.posexplode("found.letters").alias("letter", "n")).groupBy("letter").agg(F.sum("n").alias("n"))
-    numbers = [r.n for r in counts.collect()]  # at most 26
-    total = max(1, sum(numbers))
-    return sum((n / total) ** 2 for n in numbers), sum((n / total) ** 3 for n in numbers)
+    found = {r.letter: r.n for r in counts.collect()}  # at most 27
+    changed = found.pop(26, 0)
+    total = max(1, sum(found.values()))
+    return sum((n / total) ** 2 for n in found.values()), sum((n / total) ** 3 for n in found.values()), changed / total
 
 
 def text_score(length: str, found: str, second: float, third: float) -> str:
@@ -223,6 +238,11 @@ def text_score(length: str, found: str, second: float, third: float) -> str:
     return f"(({pairs} * {second!r}D - {found}) / sqrt(greatest({variance}, 1e-9D)))"
 
 
+def change_score(length: str, found: str, rate: float) -> str:
+    """SQL: deviations by which a run has more changes than text; the root evens out the variance of rare events."""
+    return f"(2 * (sqrt({found}) - sqrt({length} * {max(rate, CHANGE_RATE)!r}D)))"
+
+
 def length_class(length: str) -> str:
     return "(" + " + ".join(f"int({length} >= {least})" for least in LENGTH_CLASSES) + " - 1)"
 
@@ -258,8 +278,9 @@ def secret_spans(
 
     rows = df.select(F.col(f"`{doc_id}`").alias("doc_id"), find(F.col(f"`{text}`")).alias("found"))
     scanned = settle(rows, "secrets")
-    second, third = letter_moments(scanned)
+    second, third, rate = letter_moments(scanned)
     score = text_score("t.length", "t.coincidences", second, third)
+    score = f"greatest({score}, {change_score('t.length', 't.changes', rate)})"
     passed = f"t.randomness >= {parameters.rejection!r}D"
     scores = scanned.select(F.explode("found.tests").alias("t")).selectExpr(
         f"{length_class('t.length')} AS class",
@@ -268,7 +289,8 @@ def secret_spans(
     histogram: dict[int, dict[int, int]] = {}
     for row in scores.groupBy("class", "bin").agg(F.count("*").alias("n")).collect():  # classes * bins rows at most
         histogram.setdefault(row["class"], {})[row["bin"]] = row["n"]
-    lowest = {k: discovery_threshold(v, parameters.discovery) for k, v in histogram.items()}
+    # The better of two scores: twice the p-value, or half the share.
+    lowest = {k: discovery_threshold(v, parameters.discovery / 2) for k, v in histogram.items()}
     cases = " ".join(f"WHEN {k} THEN {v!r}D" for k, v in lowest.items() if v < math.inf)
     bound = f"CASE {length_class('t.length')} {cases} END" if cases else "CAST(NULL AS DOUBLE)"
     apart = "NOT exists(found.spans, s -> s.start < t.stop AND t.start < s.stop)"

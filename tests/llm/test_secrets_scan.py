@@ -86,6 +86,22 @@ def test_random_strings_are_found_and_prose_is_not(spark):
     assert ss.digest_columns(ss.secret_spans(df.limit(0))).count() == 0
 
 
+def test_few_short_keys_of_small_alphabets_are_found(spark):
+    """Uppercase hexadecimal, base32 and base36 keys, one in eighty candidates."""
+    chance = random.Random(8)
+    prose = "It was the best of times and the worst of times as the story tells us about the people of the city"
+    keys = ["".join(chance.choices(ss.ALPHABETS[name], k=k)) for name, k in (("HEX", 20), ("HEX", 32), ("HEX", 64), ("base36", 32), ("base32", 40))]
+    assert [ss.infer_encoding(k) for k in keys] == ["HEX", "HEX", "HEX", "base36", "base32"]
+    words = [w.title() for w in prose.split()]
+    plain = ["".join(chance.choices(words, k=chance.choice([6, 8, 12, 20]))) + chance.choice(["", "1", "2021"]) for _ in range(400)]
+    rows = [(i, f"{prose} {key} {prose}") for i, key in enumerate(keys)] + [(100 + i, f"{prose} {w} {prose}") for i, w in enumerate(plain)]
+    found = ss.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    hits = {r.doc_id: [(texts[r.doc_id][s.start : s.stop], ss.KINDS[s.kind]) for s in r.spans] for r in found}
+    assert [hits[i] for i in range(len(keys))] == [[(key, "random")] for key in keys]
+    assert sum(bool(h) for i, h in hits.items() if i >= 100) <= 1
+
+
 def test_query_against_brute_force(spark):
     folder = contract.SMOKE_DIR.replace("0.001", "0.01")
     found = contract.queries()["op1_randomness_battery"](spark, folder).collect()
