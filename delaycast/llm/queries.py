@@ -112,3 +112,12 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= parameters.threshold).cast("int").alias("predicted"),
     )
+
+
+@REGISTRY.query("op13_whole_token")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it is over 4096 tokens."""
+    from delaycast.llm.token_counts import with_counts
+
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return with_counts(documents, tokenizer_path()).drop("text", "n_direct")
