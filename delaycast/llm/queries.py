@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaycast.llm import line_dedup, sorted_passes, url_rules
+from delaycast.llm import line_dedup, sorted_passes, spelling, url_rules
 from delaycast.llm.common import crc_remainder, table
 from delaycast.workload.registry import Registry
 
@@ -13,6 +13,7 @@ REGISTRY = Registry()
 LINE_DEDUP = line_dedup.LineDedupParameters()
 PASSES = sorted_passes.PassParameters(cosine=0.98)
 URLS = url_rules.UrlParameters()
+SPELLING, SLIP = spelling.SpellingParameters(), 97
 
 
 def tokenizer_path() -> str:
@@ -121,3 +122,10 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_counts(documents, tokenizer_path()).drop("text", "n_direct")
+
+
+@REGISTRY.query("op12_finite_state", spelling.oracle(SPELLING, SLIP))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents with its near words, its form and the root of its forms."""
+    words = spelling.count_words(table(spark, sf_dir, "documents"), SPELLING, slip=SLIP)
+    return spelling.spelling_groups(words, SPELLING)
