@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaycast.llm import line_dedup, sorted_passes, spelling, url_rules
+from delaycast.llm import anchor_tree, line_dedup, sorted_passes, spelling, url_rules
 from delaycast.llm.common import crc_remainder, table
 from delaycast.workload.registry import Registry
 
@@ -13,6 +13,7 @@ REGISTRY = Registry()
 LINE_DEDUP = line_dedup.LineDedupParameters()
 PASSES = sorted_passes.PassParameters(cosine=0.98)
 URLS = url_rules.UrlParameters()
+MINING = anchor_tree.MiningParameters()
 SPELLING, SLIP = spelling.SpellingParameters(), 97
 
 
@@ -124,6 +125,14 @@ def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_counts(documents, tokenizer_path()).drop("text", "n_direct")
 
 
+@REGISTRY.query("op11_anchor_tree", anchor_tree.oracle(MINING))
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, for each of its five positives; a seventh of the labels moves on."""
+    moved = F.expr("IF(vec_id % 7 = 0, (label + 1) % 10, label)")
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return anchor_tree.mine_negatives(vectors, "vec_id % 100 = 0", MINING)
+
+
 @REGISTRY.query("op12_finite_state", spelling.oracle(SPELLING, SLIP))
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every word of the documents with its near words, its form and the root of its forms."""
