@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from delaycast.operators.outliers import iqr_outlier_flag
 from delaycast.operators.places import both_cities, weather_cities
 from delaycast.operators.sizing import Sized
 from delaycast.plans.features import training_set
-from delaycast.plans.model import TRIALS, choose_model, tune
+from delaycast.plans.model import TRIALS, Trained, choose_model, fit_trials, tune
 from delaycast.plans.registry import publish_model
 from delaycast.schemas import FLIGHT_TABLE, OPTIONAL_FEED_COLUMNS, WEATHER_TABLE
 from delaycast.sinks.files import replace_table, write_csv
@@ -49,11 +50,13 @@ def run_batch(
     seed: int = 0,
     multiline: bool = False,
     compat: bool = False,
+    fit: Callable[..., Trained] = fit_trials,
 ) -> BatchResult:
     """Ingest both feeds into CSV tables, train on them, evaluate, and promote a good model.
 
     ``keys`` identify a flight in the feed (for the train/eval split). Returns the evaluation,
     the cities whose weather the next ingest should cover, and the promoted version, if any.
+    ``fit`` trains the trials; ``proximal.fit_at_constant_rate`` does so at the fixed learning rate.
     """
     flights = prepare_flights(read_delay_feed(spark, delay_feed, multiline=multiline), airports, compat)
     write_csv(flights, f"{out}/flight_delay")
@@ -62,7 +65,7 @@ def run_batch(
 
     flight_table = read_csv(spark, f"{out}/flight_delay", FLIGHT_TABLE)
     weather_table = read_csv(spark, f"{out}/weather_data", WEATHER_TABLE)
-    trained = tune(training_set(flight_table, weather_table, compat, keys), keys, trials, seed)
+    trained = tune(training_set(flight_table, weather_table, compat, keys), keys, trials, seed, fit)
     replace_table(trained.evaluation, "evaluation", out)
     evaluation = read_table(spark, "evaluation")
     model = choose_model(trained.models, evaluation)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Callable
 from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
@@ -160,9 +161,15 @@ def train_logistic(training: DataFrame | Sized, keys: list[str], penalty: Penalt
     return fit_trials(training, keys, [penalty])
 
 
-def tune(training: DataFrame | Sized, keys: list[str], trials: int = TRIALS, seed: int = 0) -> Trained:
-    """Random search over the penalties."""
-    return fit_trials(training, keys, draw_penalties(trials, seed))
+def tune(
+    training: DataFrame | Sized,
+    keys: list[str],
+    trials: int = TRIALS,
+    seed: int = 0,
+    fit: Callable[[DataFrame | Sized, list[str], list[Penalty]], Trained] = fit_trials,
+) -> Trained:
+    """Random search over the penalties; ``fit`` trains and evaluates one model for each."""
+    return fit(training, keys, draw_penalties(trials, seed))
 
 
 def choose_model(models: list[PipelineModel], evaluation: DataFrame) -> PipelineModel | None:

@@ -10,9 +10,12 @@ from delaycast.functions.missing import replace_columns
 from delaycast.operators.metrics import best_trial, classifier_metrics, metric_gate
 from delaycast.operators.outliers import iqr_outlier_flag
 from delaycast.operators.sizing import settle
-from delaycast.plans import model
+from delaycast.plans import model, proximal
 from delaycast.plans.features import training_set
-from delaycast.schemas import CATEGORICAL_FEATURES, METRIC_COLUMNS
+from delaycast.plans.linear_model import LinearModel
+from delaycast.plans.registry import LatestModel, publish_model
+from delaycast.schemas import CATEGORICAL_FEATURES, METRIC_COLUMNS, NUMERIC_FEATURES
+from delaycast.session import scratch_path
 from delaycast.workload import adapter
 from delaycast.workload.oracle import FLIGHTS, RAW, training_sql
 from delaycast.workload.registry import Registry
@@ -139,6 +142,96 @@ def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- models ----------------------------------------------------------------------------------------
 
+_PENALTY = model.Penalty(4.0, 2.0)
+
+
+def _descent_sql(penalty: model.Penalty, steps: int, rate: float) -> str:
+    """Coefficients after ``steps`` proximal steps, each step spelled out."""
+    stacked = [f"SELECT flight_id, '{c}' AS feature, {c} AS token, 1e0 AS x FROM train" for c in CATEGORICAL_FEATURES]
+    for c in NUMERIC_FEATURES:
+        scaled = f"({c} - (SELECT avg({c}) FROM train)) / (SELECT stddev_samp({c}) FROM train)"
+        stacked.append(f"SELECT flight_id, '{c}', '', {scaled} FROM train")
+    stacked.append("SELECT flight_id, 'intercept', '', 1e0 FROM train")
+    chain = []
+    for k in range(1, steps + 1):
+        chain.append(f"""r{k} AS MATERIALIZED (
+  SELECT flight_id, any_value(weight) * (1 / (1 + exp(-sum(w * x))) - any_value(target)) AS r
+  FROM inputs JOIN w{k - 1} USING (place) JOIN train USING (flight_id) GROUP BY flight_id),
+w{k} AS MATERIALIZED (
+  SELECT place, CASE WHEN free THEN w - {rate} * g ELSE sign(a) * greatest(abs(a) - {rate * penalty.l1} / n, 0) END AS w
+  FROM (SELECT place, w, free, n, g, w * (1 - {rate * penalty.l2} / n) - {rate} * g AS a
+        FROM (SELECT place, sum(r * x) / (SELECT count(*) FROM train) AS g FROM inputs JOIN r{k} USING (flight_id) GROUP BY place)
+        JOIN w{k - 1} USING (place) JOIN places USING (place), (SELECT count(*) AS n FROM train)))""")
+    slopes = " + ".join(
+        f"(SELECT w FROM w{steps} JOIN places USING (place) WHERE feature = '{c}') * (SELECT avg({c}) / stddev_samp({c}) FROM train)"
+        for c in NUMERIC_FEATURES
+    )
+    scales = " ".join(f"WHEN '{c}' THEN w / (SELECT stddev_samp({c}) FROM train)" for c in NUMERIC_FEATURES)
+    return f"""WITH training AS ({training_sql('f.flight_id,')}),
+learnt AS (
+  SELECT *, count(*) OVER () / (2e0 * count(*) OVER (PARTITION BY target)) AS weight FROM training
+  WHERE CAST('0x' || substr(md5(CAST(flight_id AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 20),
+train AS MATERIALIZED (SELECT * FROM learnt),
+stacked AS MATERIALIZED ({' UNION ALL '.join(stacked)}),
+places AS MATERIALIZED (
+  SELECT feature, token, feature = 'intercept' AS free, row_number() OVER (ORDER BY feature, token) AS place
+  FROM stacked GROUP BY feature, token),
+inputs AS MATERIALIZED (SELECT flight_id, place, x FROM stacked JOIN places USING (feature, token)),
+w0 AS (SELECT place, 0e0 AS w FROM places),
+{', '.join(chain)}
+SELECT feature, token, round(CASE feature WHEN 'intercept' THEN w - ({slopes}) {scales} ELSE w END, 6) + 0 AS coefficient
+FROM w{steps} JOIN places USING (place)"""
+
+
+@query("train_logistic_constant_rate", _descent_sql(_PENALTY, model.MAX_ITERATIONS, proximal.LEARN_RATE))
+def train_logistic_constant_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coefficients after the fixed number of steps at the fixed rate, on the train side."""
+    training = settle(_training(spark, sf_dir), "training-set").frame
+    train = model.train_eval_split(training, "flight_id").where("split = 'train'").drop("split", "flight_id")
+    found = proximal.fit_coefficients(train, [_PENALTY])
+    linear = found.layout.model(found.coefficients[0])
+    rows = [("intercept", "", linear.intercept), *[(name, "", c) for name, c in linear.numeric.items()]]
+    rows += [(name, token, c) for name, tokens in linear.tokens.items() for token, c in tokens.items()]
+    coefficients = spark.createDataFrame(rows, "feature string, token string, coefficient double")
+    return replace_columns(coefficients, {"coefficient": "round(coefficient, 6) + 0D"})
+
+
+@query("tune_constant_rate")
+def tune_constant_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evaluation rows of the random search, all trials at the fixed rate."""
+    return model.tune(_training(spark, sf_dir), ["flight_id"], fit=proximal.fit_at_constant_rate).evaluation
+
+
+# A model with set coefficients: a number, tokens by rule, tokens of which some are unknown to it.
+SET_MODEL = LinearModel(
+    -0.3,
+    {"duration": -0.002, "dep_time_float": 0.0007},
+    {"dep_iata": {str(i): (i % 7 - 3) / 10 for i in range(25)}, "dep_desc": {"null": 0.4, "view": -0.25}},
+)
+
+
+def set_model_sql(duration: str, minutes: str, dep_iata: str, dep_desc: str) -> str:
+    return f"""round(1 / (1 + exp(-(-0.3e0 - 0.002e0 * {duration} + 0.0007e0 * {minutes}
+    + (CAST({dep_iata} AS INTEGER) % 7 - 3) / 10e0
+    + CASE {dep_desc} WHEN 'null' THEN 0.4e0 WHEN 'view' THEN -0.25e0 ELSE 0 END))), 9) AS delay_prob"""
+
+
+def published_set_model(spark: SparkSession) -> LatestModel:
+    """A registry whose newest version is the set model."""
+    root = scratch_path(spark, "models")
+    publish_model(spark, SET_MODEL._replace(intercept=5.0).pipeline(), root)
+    publish_model(spark, SET_MODEL.pipeline(), root)
+    return LatestModel(root)
+
+
+@query("score_batch_set_model", f"""WITH training AS ({training_sql('f.flight_id,')})
+SELECT flight_id, {set_model_sql('duration', 'dep_time_float', 'dep_iata', 'dep_desc')} FROM training""")
+def score_batch_set_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All training rows scored with the newest model of a registry, whose coefficients are known."""
+    scored = model.score(published_set_model(spark).get(spark), _training(spark, sf_dir))
+    return scored.selectExpr("flight_id", "round(delay_prob, 9) AS delay_prob")
+
+
 
 @query("train_logistic")
 def train_logistic(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from delaycast.streaming.messages import message_rows
 from delaycast.streaming.pipelines import scored_documents, start
 from delaycast.workload import adapter
 from delaycast.workload.feeds import KEYED_RECORD
+from delaycast.workload.learning import published_set_model, set_model_sql
 from delaycast.workload.oracle import joined, minute_sql
 from delaycast.workload.registry import Registry
 
@@ -97,3 +98,18 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(messages, deliver, f"{out}/checkpoint").awaitTermination()
     scored = T.StructType([*KEYED_MESSAGE.fields, T.StructField("delay_prob", T.DoubleType())])
     return spark.read.schema(scored).parquet(f"{out}/rows/batch_id=*")
+
+
+@query("stream_score_set_model", joined(f"""f.flight_id, {set_model_sql(
+  "coalesce(f.duration, 0)",
+  "coalesce(CAST(hour(f.dep_time_utc) * 60 + minute(f.dep_time_utc) AS DOUBLE), 0)",
+  "f.dep_iata",
+  "coalesce(d.weather_description, 'null')")}"""))
+def stream_score_set_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_score``, with a published model whose coefficients are known."""
+    messages = topic_of(enriched_rows(spark, sf_dir), "messages")
+    out = scratch_path(spark, "scored")
+    deliver = scored_documents(published_set_model(spark), f"{out}/rows", KEYED_MESSAGE)
+    start(messages, deliver, f"{out}/checkpoint").awaitTermination()
+    rows = spark.read.schema("flight_id bigint, delay_prob double").parquet(f"{out}/rows/batch_id=*")
+    return rows.selectExpr("flight_id", "round(delay_prob, 9) AS delay_prob")

@@ -2,7 +2,11 @@ import json
 import random
 from pathlib import Path
 
+import pytest
+
 from delaycast.plans.batch import prepare_flights, run_batch
+from delaycast.plans.model import fit_trials
+from delaycast.plans.proximal import fit_at_constant_rate
 from delaycast.plans.registry import LatestModel
 from delaycast.schemas import FLIGHT_RECORD, OPTIONAL_FEED_COLUMNS
 from delaycast.sources.tables import read_metrics
@@ -30,7 +34,8 @@ def forecast(city):
     return {"city": city, "status": 200, "list": entries}
 
 
-def test_daily_batch_promotes_a_good_model(spark, folder):
+@pytest.mark.parametrize("fit", [fit_trials, fit_at_constant_rate])
+def test_daily_batch_promotes_a_good_model(spark, folder, fit):
     generator = random.Random(11)
     flights = [flight(generator, i) for i in range(400)]
     (Path(folder) / "delays.json").write_text(json.dumps({"response": flights}))
@@ -38,7 +43,7 @@ def test_daily_batch_promotes_a_good_model(spark, folder):
     airports = spark.createDataFrame([("KMIA", "Miami"), ("EGLL", "London")], "icao string, city string")
     result = run_batch(
         spark, f"{folder}/delays.json", f"{folder}/forecasts.json", airports, f"{folder}/out", f"{folder}/models",
-        keys=["flight_number"], trials=2,
+        keys=["flight_number"], trials=2, fit=fit,
     )
     assert {r.city for r in result.cities.collect()} == {"Miami", "London"}
     rows = read_metrics(spark, "evaluation")

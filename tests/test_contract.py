@@ -16,6 +16,7 @@ TABLES = (
 COLUMNS = {
     "train_logistic": {"trial_id", "roc_auc"},
     "tune_trials": {"trial_id", "roc_auc"},
+    "tune_constant_rate": {"trial_id", "roc_auc"},
     "score_batch": {"flight_id", "delay_prob"},
     "stream_score": {"flight_id", "delay_prob"},
 }
