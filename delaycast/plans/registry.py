@@ -1,6 +1,6 @@
 """Versioned models on a shared file system.
 
-A version is saved into a folder of its own and then announced in an append-only list, so a
+A version is saved into a folder of its own and then announced by a numbered commit, so a
 reader never meets a half-written model and a running stream never loses the one it uses.
 """
 
@@ -10,30 +10,25 @@ import uuid
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
-_SCHEMA = "version bigint, path string"
+from delaycast.sinks.commits import CommitLog
+
+
+def _log(spark: SparkSession, root: str) -> CommitLog:
+    return CommitLog(spark, f"{root.rstrip('/')}/versions")
 
 
 def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
     """Number and folder of the newest announced model, if there is any."""
-    try:
-        announced = spark.read.schema(_SCHEMA).parquet(f"{root}/versions")
-        newest = announced.agg(F.max(F.struct("version", "path")).alias("v")).first().v
-    except AnalysisException:
-        return None
-    return None if newest is None else (newest.version, newest.path)
+    newest = _log(spark, root).latest()
+    return None if newest is None else (newest[0], newest[1]["path"])
 
 
 def publish_model(spark: SparkSession, model: PipelineModel, root: str) -> int:
-    """Save a model as the next version and announce it."""
-    newest = latest_version(spark, root)
-    version = 1 if newest is None else newest[0] + 1
-    path = f"{root}/models/{version}-{uuid.uuid4().hex}"
+    """Save a model and announce it as the next version; of two at once, each gets a number of its own."""
+    path = f"{root.rstrip('/')}/models/{uuid.uuid4().hex}"
     model.write().save(path)
-    spark.createDataFrame([(version, path)], _SCHEMA).coalesce(1).write.mode("append").parquet(f"{root}/versions")
-    return version
+    return _log(spark, root).append({"path": path})
 
 
 class LatestModel:

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame
 
+from delaycast.sinks.commits import SnapshotTable
+
+# Versions of a replaced table that stay readable.
+KEPT_VERSIONS = 5
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header and doubled quotes, replacing what was there."""
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 
-def replace_table(df: DataFrame, name: str, root: str) -> str:
+def replace_table(df: DataFrame, name: str, root: str, keep: int = KEPT_VERSIONS) -> str:
     """Create or replace the table ``name`` with ``df``; returns the path of its files.
 
-    The rows go to a new folder first and the name is then pointed at it, so readers see the old
-    or the new content, ``df`` may itself read the old one, and a failed write changes nothing.
+    The rows become the next version of a snapshot table and the name is then pointed at it, so
+    readers see the old or the new content, ``df`` may itself read the old one, and a failed write
+    changes nothing. The newest ``keep`` versions stay for those who still read them.
     """
-    path = f"{root.rstrip('/')}/{name}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    table = SnapshotTable(df.sparkSession, f"{root.rstrip('/')}/{name}")
+    path = table.record(table.replace(df))["path"]
     df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{path}`")
+    table.expire(keep)
     return path
