@@ -14,6 +14,7 @@ from delaycast.plans.model import score
 from delaycast.plans.registry import LatestModel
 from delaycast.schemas import MESSAGE_COLUMNS, MESSAGE_RECORD
 from delaycast.sinks.documents import write_batch
+from delaycast.sinks.keyed import KeyedDocuments
 from delaycast.sinks.topics import to_json_batches
 from delaycast.streaming.enrich import enrich_schedule
 from delaycast.streaming.messages import message_counts, message_rows
@@ -61,6 +62,16 @@ def scored_documents(
     return deliver
 
 
+def keyed_documents(
+    models: LatestModel, store: KeyedDocuments, record: T.StructType = MESSAGE_RECORD, stream: str = ""
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function: score with the newest model and keep the newest document of each key.
+
+    Keys that come again replace their document; a batch that runs again changes nothing.
+    """
+    return store.foreach_batch(lambda batch: score_messages(models.get(batch.sparkSession), batch, record), stream)
+
+
 def publish_schedules(
     schedules: DataFrame,
     airports: Callable[[], DataFrame],

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaycast.functions.missing import replace_columns
@@ -10,17 +11,20 @@ from delaycast.operators.weather import dual_role_weather
 from delaycast.plans.features import serving_features, training_set
 from delaycast.plans.model import linear_probability, train_logistic
 from delaycast.plans.registry import LatestModel, publish_model
-from delaycast.schemas import MESSAGE_COLUMNS, MESSAGE_RECORD
+from delaycast.schemas import FORECAST_FEED, MESSAGE_COLUMNS, MESSAGE_RECORD, WEATHER_COLUMNS
 from delaycast.session import scratch_path
-from delaycast.sinks.topics import to_json_batches, write_topic_files
+from delaycast.sinks.keyed import KeyedDocuments
+from delaycast.sinks.topics import to_json_batches, to_json_rows, write_topic_files
+from delaycast.sources.feeds import flatten_forecasts
+from delaycast.sources.polling import read_snapshots
 from delaycast.sources.topics import read_topic_files
 from delaycast.streaming.enrich import enrich_schedule
 from delaycast.streaming.messages import message_rows
-from delaycast.streaming.pipelines import scored_documents, start
+from delaycast.streaming.pipelines import keyed_documents, scored_documents, start
 from delaycast.workload import adapter
-from delaycast.workload.feeds import KEYED_RECORD
+from delaycast.workload.feeds import KEYED_RECORD, forecast_documents
 from delaycast.workload.learning import published_set_model, set_model_sql
-from delaycast.workload.oracle import joined, minute_sql
+from delaycast.workload.oracle import WEATHER, joined, minute_sql
 from delaycast.workload.registry import Registry
 
 REGISTRY = Registry()
@@ -100,11 +104,15 @@ def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(scored).parquet(f"{out}/rows/batch_id=*")
 
 
-@query("stream_score_set_model", joined(f"""f.flight_id, {set_model_sql(
-  "coalesce(f.duration, 0)",
-  "coalesce(CAST(hour(f.dep_time_utc) * 60 + minute(f.dep_time_utc) AS DOUBLE), 0)",
-  "f.dep_iata",
-  "coalesce(d.weather_description, 'null')")}"""))
+_SET_SCORE = set_model_sql(
+    "coalesce(f.duration, 0)",
+    "coalesce(CAST(hour(f.dep_time_utc) * 60 + minute(f.dep_time_utc) AS DOUBLE), 0)",
+    "f.dep_iata",
+    "coalesce(d.weather_description, 'null')",
+)
+
+
+@query("stream_score_set_model", joined(f"f.flight_id, {_SET_SCORE}"))
 def stream_score_set_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_score``, with a published model whose coefficients are known."""
     messages = topic_of(enriched_rows(spark, sf_dir), "messages")
@@ -113,3 +121,38 @@ def stream_score_set_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     start(messages, deliver, f"{out}/checkpoint").awaitTermination()
     rows = spark.read.schema("flight_id bigint, delay_prob double").parquet(f"{out}/rows/batch_id=*")
     return rows.selectExpr("flight_id", "round(delay_prob, 9) AS delay_prob")
+
+
+_ROUTE = ["airline_iata", "dep_iata", "arr_iata"]
+
+
+@query("stream_upsert_documents", joined(
+    f"""f.flight_id, coalesce(f.airline_iata, 'null') AS airline_iata, f.dep_iata, f.arr_iata, {_SET_SCORE}""",
+    where="QUALIFY row_number() OVER (PARTITION BY f.airline_iata, f.dep_iata, f.arr_iata ORDER BY f.flight_id DESC) = 1",
+))
+def stream_upsert_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One scored document per route, its newest flight, though every message is delivered twice."""
+    messages = topic_of(enriched_rows(spark, sf_dir), "messages")
+    out = scratch_path(spark, "routes")
+    models = published_set_model(spark)
+    store = KeyedDocuments(spark, f"{out}/documents", _ROUTE, ["flight_id"], buckets=8)
+    for stream in ("first", "again"):
+        deliver = keyed_documents(models, store, KEYED_MESSAGE, stream)
+        start(messages, deliver, f"{out}/{stream}").awaitTermination()
+    return store.read().selectExpr("flight_id", *_ROUTE, "round(delay_prob, 9) AS delay_prob")
+
+
+@query("poll_forecasts", f"WITH {WEATHER} SELECT {', '.join(WEATHER_COLUMNS)} FROM weather")
+def poll_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecasts polled in three answers; the query stops after two and goes on from its checkpoint."""
+    out = scratch_path(spark, "polled")
+    documents = forecast_documents(adapter.weather(spark, sf_dir).frame)
+    answers = documents.selectExpr("*", "pmod(xxhash64(city), 3) AS answer")
+    for landed in ((0, 1), (2,)):
+        for number in landed:
+            write_topic_files(to_json_rows(answers.where(f"answer = {number}").drop("answer")), f"{out}/answers/{number:04d}")
+        polled = read_snapshots(spark, f"{out}/answers")
+        forecasts = flatten_forecasts(polled.select(F.from_json("value", FORECAST_FEED).alias("d")).select("d.*"))
+        writer = forecasts.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
+        writer.trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
+    return spark.read.schema(forecasts.schema).parquet(f"{out}/rows")
