@@ -1,36 +1,42 @@
 """Secret scan: fixed patterns, and a battery of randomness tests with false-discovery control.
 
 Patterns find assignments, access keys and hexadecimal runs. Beside them every run of 20 or more
-characters of the usual encodings is a candidate. Its encoding is the smallest alphabet that holds
-all its characters; runs of letters of one case, or of digits, are words and numbers and infer none. A
+characters of the usual encodings is a candidate, with ``=`` only as padding at its end. Its encoding is
+the smallest alphabet that holds all its characters; runs of letters of one case, or of digits, are
+words and numbers and infer none. A run that no alphabet holds, as it mixes the signs of several, is cut
+into the longest runs of letters and digits, and where there are none of each alphabet's. A
 candidate then passes a battery against the hypothesis that its characters are random:
 
 * chi-squared uniformity over the alphabet,
 * a runs test of characters above and below the middle of the alphabet,
 * the serial correlation of neighbouring characters,
 
-combined by Fisher's method. A candidate that any of this rejects is structured and no secret. Short
+combined by Fisher's method. The Benjamini-Hochberg procedure on these p-values, applied to each class of
+lengths by itself, tells which candidates are structured and no secrets, so that among those put aside
+few are random, however many structured runs a class has. Short
 runs of ordinary text can look random, so each of the rest is also tested against the hypothesis that it
 is text: the coincidences of equal characters (the chi-squared statistic in other units) have a mean and
 a variance for any length, given the letter frequencies of the whole corpus. Where the alphabet is so
 small that random strings have about the coincidences of text (hexadecimal, base32, base36), the runs
 of letters and of digits tell: text seldom changes between a letter and a digit, and the changes of a run
 are tested against the rate of the corpus, taken as ``CHANGE_RATE`` at least. A run counts by the better of
-the two scores, with twice its p-value. The Benjamini-Hochberg procedure, applied to each class of lengths by itself, bounds the share of false discoveries, so the
+the two scores, with twice its p-value. The same procedure, again by classes of length, bounds the share of false discoveries, so the
 weak tests of the many short runs cannot borrow from the strong ones of the few long runs.
 
 One pass over the texts finds patterns, candidates and letter counts. Everything that is gathered is
-26 letter counts, a count of changes, and a histogram of some hundred bins for each length class.
+26 letter counts, a count of changes, and two histograms of some hundred bins for each length class.
 
 A null text counts as empty and has no spans. Rows do not interact beyond the statistics, so repeated
-rows and null ids get the answer of their text. Positions are code points, ends are exclusive.
+rows and null ids get the answer of their text. Positions are code points, ends are exclusive. Texts are
+read whole, whatever their length. An empty table gives an empty result. Columns other than id and text
+are not read, so their names may clash.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -50,7 +56,8 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 KINDS = ("assign", "access", "hex", "random")
 
 CANDIDATE_LEAST = 20
-CANDIDATE = re.compile("[A-Za-z0-9+/_=-]{20,}")
+CANDIDATE = re.compile("[A-Za-z0-9+/_-]{20,}(?:={1,2}(?![A-Za-z0-9+/_=-]))?")
+PARTS = [re.compile(f"[A-Za-z0-9{signs}]{{20,}}") for signs in ("", "+/", "_-")]
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Alphabets from the smallest to the largest, in the order of their codes.
 ALPHABETS = {
@@ -69,6 +76,8 @@ WORD_SETS = (frozenset(LOWER), frozenset(UPPER), frozenset(DIGITS))
 # Lower ends of the length classes, and the resolution of the histogram of text scores.
 LENGTH_CLASSES = (20, 24, 32, 48, 96)
 BINS_PER_UNIT, BINS = 10, 400
+# Bins of the battery's p-values: tenths of their decimal logarithm.
+P_BINS = 300
 # Least rate of changes between a letter and a digit that text is taken to have, by characters.
 CHANGE_RATE = 0.02
 DIGIT_AFTER, DIGIT_BEFORE = re.compile("(?<=[A-Za-z])[0-9]"), re.compile("[0-9](?=[A-Za-z])")
@@ -81,7 +90,7 @@ SCAN_TYPE = (
 
 
 class SecretParameters(NamedTuple):
-    """``rejection``: chance of a random string to fail the battery; ``discovery``: share of false finds."""
+    """``rejection``: share of random strings among those the battery puts aside; ``discovery``: share of false finds."""
 
     rejection: float = 0.001
     discovery: float = 0.05
@@ -184,16 +193,31 @@ def long_words(text: str, least: int) -> list[tuple[int, str]]:
     return out
 
 
+def candidates(word: str) -> Iterator[tuple[int, str, str]]:
+    """(start, run, encoding) of the runs of a word that may be encoded."""
+    for m in CANDIDATE.finditer(word):
+        encoding = infer_encoding(m[0])
+        if encoding:
+            yield m.start(), m[0], encoding
+        elif not {"+", "/"}.isdisjoint(m[0]) and not {"_", "-"}.isdisjoint(m[0]):
+            taken: list[tuple[int, int]] = []
+            for pattern in PARTS:
+                for part in pattern.finditer(m[0]):
+                    apart = all(part.end() <= a or b <= part.start() for a, b in taken)
+                    if apart and (encoding := infer_encoding(part[0])):
+                        taken.append(part.span())
+                        yield m.start() + part.start(), part[0], encoding
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int, float, int, float]]]:
     """The base spans of a text, and its candidates with the figures of their tests."""
     words = long_words(text, CANDIDATE_LEAST)
     tests = []
     for at, word in words:
-        for m in CANDIDATE.finditer(word):
-            encoding = infer_encoding(m[0])
-            if encoding and len(run := m[0].rstrip("=")) >= CANDIDATE_LEAST:
-                figures = float(coincidences(run)), changes(run), randomness(m[0], encoding)
-                tests.append((at + m.start(), at + m.end(), len(run), *figures))
+        for start, found, encoding in candidates(word):
+            if len(run := found.rstrip("=")) >= CANDIDATE_LEAST:
+                figures = float(coincidences(run)), changes(run), randomness(found, encoding)
+                tests.append((at + start, at + start + len(found), len(run), *figures))
     return base_spans(text, words), tests
 
 
@@ -247,21 +271,40 @@ def length_class(length: str) -> str:
     return "(" + " + ".join(f"int({length} >= {least})" for least in LENGTH_CLASSES) + " - 1)"
 
 
-def discovery_threshold(counts: dict[int, int], share: float) -> float:
-    """The lowest text score that counts as a discovery, by Benjamini and Hochberg over score bins.
+def lowest_bin(counts: dict[int, int], share: float, largest_p: Callable[[int], float]) -> int | None:
+    """The lowest bin whose tests are discoveries by Benjamini and Hochberg; None if there is none.
 
-    ``counts``: tests by bin of the score. A bin counts by the p-value of its lower end, which is the
-    largest in it, so binning never adds discoveries.
+    ``counts``: tests by bin, higher bins with smaller p-values. A bin counts by its largest p-value,
+    so binning never adds discoveries.
     """
-    total, above, lowest = sum(counts.values()), 0, math.inf
+    total, above, lowest = sum(counts.values()), 0, None
     for number in sorted(counts, reverse=True):
         above += counts[number]
-        score = number / BINS_PER_UNIT
-        if normal_tail(score) <= share * above / total:
-            lowest = score
+        if largest_p(number) <= share * above / total:
+            lowest = number
     return lowest
 
 
+def discovery_threshold(counts: dict[int, int], share: float) -> float:
+    """The lowest text score that counts as a discovery; ``counts``: tests by bin of the score."""
+    lowest = lowest_bin(counts, share, lambda number: normal_tail(number / BINS_PER_UNIT))
+    return math.inf if lowest is None else lowest / BINS_PER_UNIT
+
+
+def by_class(rows: DataFrame) -> dict[int, dict[int, int]]:
+    """Tests by length class and bin; as many rows as there are classes and bins at most."""
+    histogram: dict[int, dict[int, int]] = {}
+    for row in rows.groupBy("class", "bin").agg(F.count("*").alias("n")).collect():
+        histogram.setdefault(row["class"], {})[row["bin"]] = row["n"]
+    return histogram
+
+
+def bound_of_class(length: str, bounds: dict[int, float]) -> str:
+    """SQL: the bound of a length's class, null where it has none."""
+    cases = " ".join(f"WHEN {k} THEN {v!r}D" for k, v in bounds.items())
+    return f"CASE {length_class(length)} {cases} END" if cases else "CAST(NULL AS DOUBLE)"
+
+
 def secret_spans(
     df: DataFrame, parameters: SecretParameters = SecretParameters(), doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -281,18 +324,19 @@ def secret_spans(
     second, third, rate = letter_moments(scanned)
     score = text_score("t.length", "t.coincidences", second, third)
     score = f"greatest({score}, {change_score('t.length', 't.changes', rate)})"
-    passed = f"t.randomness >= {parameters.rejection!r}D"
-    scores = scanned.select(F.explode("found.tests").alias("t")).selectExpr(
+    tests = scanned.select(F.explode("found.tests").alias("t"))
+    p_bin = f"int(least({P_BINS}D, floor(-10 * log10(greatest(t.randomness, 1e-30D)))))"
+    surprises = by_class(tests.selectExpr(f"{length_class('t.length')} AS class", f"{p_bin} AS bin"))
+    put_aside = {k: lowest_bin(v, parameters.rejection, lambda number: 10.0 ** (-number / 10)) for k, v in surprises.items()}
+    structured = bound_of_class("t.length", {k: float(v) for k, v in put_aside.items() if v is not None})
+    passed = f"NOT coalesce({p_bin} >= {structured}, false)"
+    scores = tests.selectExpr(
         f"{length_class('t.length')} AS class",
         f"CASE WHEN {passed} THEN int(floor(greatest(-1D, least({BINS}D, {score} * {BINS_PER_UNIT})))) ELSE -1 END AS bin",
     )
-    histogram: dict[int, dict[int, int]] = {}
-    for row in scores.groupBy("class", "bin").agg(F.count("*").alias("n")).collect():  # classes * bins rows at most
-        histogram.setdefault(row["class"], {})[row["bin"]] = row["n"]
     # The better of two scores: twice the p-value, or half the share.
-    lowest = {k: discovery_threshold(v, parameters.discovery / 2) for k, v in histogram.items()}
-    cases = " ".join(f"WHEN {k} THEN {v!r}D" for k, v in lowest.items() if v < math.inf)
-    bound = f"CASE {length_class('t.length')} {cases} END" if cases else "CAST(NULL AS DOUBLE)"
+    lowest = {k: discovery_threshold(v, parameters.discovery / 2) for k, v in by_class(scores).items()}
+    bound = bound_of_class("t.length", {k: v for k, v in lowest.items() if v < math.inf})
     apart = "NOT exists(found.spans, s -> s.start < t.stop AND t.start < s.stop)"
     binned = f"floor(least({BINS}D, {score} * {BINS_PER_UNIT})) / {BINS_PER_UNIT}"
     random = (

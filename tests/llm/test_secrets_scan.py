@@ -102,6 +102,25 @@ def test_few_short_keys_of_small_alphabets_are_found(spark):
     assert sum(bool(h) for i, h in hits.items() if i >= 100) <= 1
 
 
+def test_runs_beside_other_signs(spark):
+    """One random string beside equals signs and signs of other alphabets, among prose with such signs."""
+    chance = random.Random(13)
+    prose = "It was the best of times and the worst of times as the story tells us about the people of the city"
+    forms = ["{}", "AUTH={}", "https://e.org/x?sig={}", "a=b&c={}", "path/{}_z", "id-{}+a", "{}={}", "x/y_z-{}/q_r"]
+    tokens = {i: "".join(chance.choices(ss.ALPHABETS["base62"], k=40)) for i in range(len(forms) * 4)}
+    rows = [(i, f"{prose} {forms[i % len(forms)].format(t, t)} {prose}") for i, t in tokens.items()]
+    words = prose.lower().split()
+    signs = ["/", "-", "_", "=", "+", "_/", "=-"]
+    plain = ["".join(w + chance.choice(signs) for w in chance.choices(words, k=chance.choice([6, 8, 12, 20]))) for _ in range(400)]
+    rows += [(1000 + i, f"{prose} {w} {prose}") for i, w in enumerate(plain)]
+    found = {r.doc_id: r.spans for r in ss.secret_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for i, token in tokens.items():
+        hits = [texts[i][s.start : s.stop] for s in found[i]]
+        assert hits and all(token in h for h in hits) and len(hits) == texts[i].count(token), (texts[i], hits)
+    assert sum(bool(s) for i, s in found.items() if i >= 1000) <= 20
+
+
 def test_query_against_brute_force(spark):
     folder = contract.SMOKE_DIR.replace("0.001", "0.01")
     found = contract.queries()["op1_randomness_battery"](spark, folder).collect()
