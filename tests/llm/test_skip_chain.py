@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from itertools import product
 
 import numpy as np
@@ -115,3 +116,37 @@ def test_query_against_brute_force(spark):
         assert set(written) <= set(row.spans.split(",")) | {""}
         assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(k == i for k, *_ in spans) for i in range(4))
     assert any(r.spans for r in found)
+
+
+PLAIN_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+
+
+def test_ip_search_from_run_starts_equals_plain_search():
+    chance = random.Random(21)
+    for _ in range(20_000):
+        text = "".join(chance.choices("019..  x-+@", k=chance.randint(0, 24)))
+        assert [m.span() for m in sc.IP.finditer(text)] == [m.span() for m in PLAIN_IP.finditer(text)], text
+
+
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "1.2.3.4" + "5" * 1_000_000, "a" * 1_000_000, "+1" * 300_000, "1 " * 200_000 + "x"])
+def test_long_runs_take_seconds(text):
+    started = time.perf_counter()
+    sc.base_spans(text)
+    assert time.perf_counter() - started < 10
+
+
+def test_documents_do_not_depend_on_their_neighbours():
+    chance = random.Random(6)
+    words = ["call", "mail", "555 1234", "a@b.cd", "10.0.0.1", "id77", "4711 4711", "+49 30 123456", "see", "x9"]
+    documents = [sc.describe(" ".join(chance.choices(words, k=chance.randint(1, 40))))[1] for _ in range(40)]
+    field = sc.fit_field(documents, sc.FieldParameters(epochs=15))
+    field = field._replace(chain=field.chain * 3, skip=field.skip * 3)  # loops that take many rounds
+
+    def beliefs(some):
+        graph = sc.Graph(some)
+        ones = np.ones(graph.size)
+        return graph.beliefs(graph.unary(field, ones, ones), field, 10)[0]
+
+    together = beliefs(documents)
+    alone = np.concatenate([beliefs([d]) for d in documents])
+    assert np.abs(together - alone).max() < 1e-12
