@@ -100,6 +100,11 @@ class Machine(NamedTuple):
     center: np.ndarray
     spread: np.ndarray
 
+    @property
+    def learnt(self) -> bool:
+        """Whether there were two classes to learn from; else every text gets the same score."""
+        return bool(self.factors.any())
+
     def logit(self, numbers: np.ndarray, dense: np.ndarray) -> float:
         """The machine's sum for one text, in time linear in its features."""
         size = len(self.linear) - STATISTICS

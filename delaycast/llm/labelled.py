@@ -21,7 +21,9 @@ def labelled_sample(
     taken, so the sample does not depend on partitions. A weight is the number of labelled rows
     that a sampled row stands for, so the classes keep their shares. Labels other than 0 and 1,
     and null ids, are left out; of several labels for one id the larger counts. The sample is
-    bounded by ``per_class``, so it is sent to the documents, which stay where they are.
+    bounded by ``per_class``, so it is sent to the documents, which stay where they are. Of several
+    documents with one id the one with the smallest columns is taken, reduced where they lie, so the
+    bound holds however often an id repeats.
     """
     usable = labels.select("doc_id", F.col(target).cast("int").alias("label")).where("label IN (0, 1) AND doc_id IS NOT NULL")
     usable = usable.where(crc_remainder("doc_id", modulus) != held_out).groupBy("doc_id").agg(F.max("label").alias("label"))
@@ -35,7 +37,9 @@ def labelled_sample(
         chosen = usable.withColumn("weight", F.lit(1.0))
     chosen = chosen.selectExpr("doc_id AS _id", "label", "weight")
     texts = documents.select("doc_id", *columns)  # other columns may have the names used here
-    return texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("doc_id", "label", "weight", *columns)
+    found = texts.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    first = found.groupBy("doc_id").agg(F.min(F.struct("label", "weight", *columns)).alias("_first"))
+    return first.select("doc_id", *[F.col(f"_first.{c}").alias(c) for c in ("label", "weight", *columns)])
 
 
 def fit_in_task(sample: DataFrame, fit: Callable[[list[dict]], object]) -> bytes:

@@ -71,3 +71,14 @@ def test_edge_rows_and_missing_labels(spark):
         scores = [r.s for r in documents.select(fm.quality_score(documents, machine).alias("s")).collect()]
         assert len(set(scores)) == 1 and 0 < scores[0] < 1
     assert documents.limit(0).select(fm.quality_score(documents, machine)).count() == 0
+
+
+def test_sample_has_one_row_an_id(spark):
+    rows = [(i, f"text {i}") for i in range(40)] + [(7, "a smaller text")] * 3000 + [(8, "text 8")] * 500 + [(None, "x")] * 5
+    documents = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] * 3 + [(None, 1)], "doc_id long, quality int")
+    found = labelled_sample(documents, labels, "quality", 4, 2, 1000, ["text"]).collect()
+    ids = [r.doc_id for r in found]
+    assert len(ids) == len(set(ids)) == sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(40))
+    assert all(r.label == r.doc_id % 2 and r.weight == 1.0 for r in found)
+    assert {r.doc_id: r.text for r in found}.get(7, "a smaller text") == "a smaller text"

@@ -107,3 +107,12 @@ def test_stages_on_edge_rows_and_empty_tables(spark, folder):
         if number == 4:
             assert len(result) == len(rows) and all(r.ids[0] == 1 and r.ids[-1] == 2 and r._digests == 5 for r in result)
         assert stage(spark, docs.limit(0), folder).count() == 0
+
+
+def test_nothing_goes_without_two_classes(spark, folder):
+    docs = spark.createDataFrame(edge_rows(), EDGE_COLUMNS)
+    for name, labels in (("none", []), ("good", [(i, 1, 0) for i in range(10)]), ("bad", [(i, 0, 0) for i in range(10)]),
+                         ("unknown", [(i, i % 2 + 5, 0) for i in range(10)])):
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/{name}/labels.parquet")
+        kept = corpus_pipeline.keep_good(spark, docs, f"{folder}/{name}")
+        assert kept.columns == docs.columns and kept.count() == docs.count()
