@@ -24,8 +24,13 @@ NEAR = SimHashParameters(words=3, distance=3)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents whose quality score is below the machine's threshold."""
+    """Drop the documents whose quality score is below the machine's threshold.
+
+    Where the labels give less than two classes to learn from, scores tell nothing and all stay.
+    """
     machine = train_quality(docs, table(spark, sf_dir, "labels"), QUALITY)
+    if not machine.learnt:
+        return docs
     return docs.where(quality_score(docs, machine, QUALITY) >= QUALITY.threshold)
 
 
