@@ -13,12 +13,12 @@ from delaycast.schemas import MESSAGE_RECORD
 DESCRIPTION_FIELDS = ["arr_weather_description", "dep_weather_description"]
 
 
-def decode_messages(messages: DataFrame, record: T.StructType = MESSAGE_RECORD) -> DataFrame:
-    """``value`` -> ``value, rows``; one message is a JSON array of rows or a single row object.
+def decode_messages(messages: DataFrame, record: T.StructType = MESSAGE_RECORD, *carry: str) -> DataFrame:
+    """``value`` -> carried columns, ``value, rows``; a message is a JSON array of rows or a single row object.
 
     ``rows`` is NULL when the message cannot be decoded.
     """
-    return messages.select("value", F.from_json("value", T.ArrayType(record)).alias("rows"))
+    return messages.select(*carry, "value", F.from_json("value", T.ArrayType(record)).alias("rows"))
 
 
 def message_rows(messages: DataFrame, record: T.StructType = MESSAGE_RECORD) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from delaycast.functions.labels import delay_label
 from delaycast.functions.missing import fill_missing, is_missing, replace_columns
 from delaycast.functions.timeslot import minutes_of_day, minutes_of_day_text, slot_3hr, slot_3hr_compat
+from delaycast.operators.bucketed import dual_role_bucketed, store_bucketed
 from delaycast.operators.columns import ensure_columns, select_columns, sort_columns, to_numeric
 from delaycast.operators.outliers import iqr_outlier_flag, quartiles
 from delaycast.operators.places import (
@@ -17,10 +18,13 @@ from delaycast.operators.places import (
     stacked_cities,
     weather_cities,
 )
+from delaycast.operators.running_quantiles import RunningQuantiles
 from delaycast.operators.weather import dual_role_weather, role_keys, weather_join
 from delaycast.plans.features import serving_features, training_set
 from delaycast.schemas import MESSAGE_COLUMNS, OPTIONAL_FEED_COLUMNS, WEATHER_PAYLOAD
+from delaycast.session import scratch_path
 from delaycast.sources.feeds import decode_payloads, feed_filter, reject_counts
+from delaycast.sources.landing import land, read_landed
 from delaycast.workload import adapter
 from delaycast.workload.oracle import (
     ARR_ON,
@@ -168,6 +172,35 @@ def feed_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed_filter(adapter.raw_flights(spark, sf_dir), dep_iata="7").select("flight_id", "dep_iata", "delayed")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    """Flights landed in two deliveries; the second repeats a day of the first."""
+    path = scratch_path(spark, "landed")
+    flights = adapter.raw_flights(spark, sf_dir).select("flight_id", "dep_iata", "dep_time_utc", "delayed")
+    land(flights.where("dep_time_utc IS NULL OR dep_time_utc < TIMESTAMP_NTZ '2024-01-16'"), path)
+    land(flights.where("dep_time_utc >= TIMESTAMP_NTZ '2024-01-15'"), path)
+    return path, flights.schema
+
+
+@query("feed_filter_landed", f"WITH {RAW} SELECT flight_id, dep_iata, delayed FROM raw WHERE delayed >= 30 AND dep_iata = '7'")
+def feed_filter_landed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the landed table, of which only the station's folders are read."""
+    path, schema = _landed(spark, sf_dir)
+    return read_landed(spark, path, schema, dep_iata="7").select("flight_id", "dep_iata", "delayed")
+
+
+@query("feed_filter_stations", f"""WITH {RAW}
+SELECT flight_id, dep_iata, delayed FROM raw
+WHERE delayed >= 30 AND dep_iata IN (SELECT CAST(n_nationkey AS VARCHAR) FROM nation WHERE n_regionkey = 1)
+  AND dep_time_utc >= TIMESTAMP '2024-01-10' AND dep_time_utc < TIMESTAMP '2024-01-21'""")
+def feed_filter_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some days of the stations that a table lists."""
+    path, schema = _landed(spark, sf_dir)
+    nation = adapter.table(spark, sf_dir, "nation").where("n_regionkey = 1")
+    stations = nation.selectExpr("CAST(n_nationkey AS STRING) AS dep_iata")
+    found = read_landed(spark, path, schema, "2024-01-10", "2024-01-20", stations=stations)
+    return found.select("flight_id", "dep_iata", "delayed")
+
+
 _PROPS = T.StructType([T.StructField("k", T.IntegerType())])
 # Some answers fail and some bodies break off in the middle.
 _ENVELOPES_SQL = """envelopes AS (
@@ -256,6 +289,16 @@ def weather_dual_role_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _descriptions(spark, sf_dir, limit=0)
 
 
+@query("weather_dual_role_bucketed", joined(_DESCRIPTIONS))
+def weather_dual_role_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from bucketed tables: the flights are moved once, for the arrival role."""
+    keys = [left for role in ("dep", "arr") for left, _ in role_keys(role)]
+    flights = adapter.located_flights(spark, sf_dir).select("flight_id", *keys)
+    tables = store_bucketed(flights, adapter.weather(spark, sf_dir), buckets=8)
+    wide = dual_role_bucketed(spark, tables, ["weather_description"])
+    return wide.select("flight_id", "dep_weather_description", "arr_weather_description")
+
+
 @query("weather_join_compat", joined(_DESCRIPTIONS, ARR_ON_COMPAT))
 def weather_join_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _descriptions(spark, sf_dir, compat=True)
@@ -335,6 +378,31 @@ def price_quartiles_bracketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(quartiles(prices, "l_extendedprice", distinct_limit=1000), "q1", "q3")
 
 
+def _delays_by_day(spark: SparkSession, sf_dir: str) -> RunningQuantiles:
+    """Three days' worth of delays, the second given twice."""
+    flights = adapter.raw_flights(spark, sf_dir)
+    running = RunningQuantiles(spark, scratch_path(spark, "running-quantiles"), distinct_limit=200)
+    for day in ("0", "1", "2", "1"):
+        running.add(day, flights.where(f"flight_id % 3 = {day}"), "delayed")
+    return running
+
+
+@query("quartiles_incremental", f"""WITH {RAW}
+SELECT round(quantile_cont(delayed, 0.25), 6) AS q1, round(quantile_cont(delayed, 0.75), 6) AS q3
+FROM raw""")
+def quartiles_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quartiles of days that were taken up one after the other."""
+    found = _delays_by_day(spark, sf_dir).quartiles()
+    return _rounded(spark.createDataFrame([found], "q1 double, q3 double"), "q1", "q3")
+
+
+@query("iqr_outlier_flag_incremental", with_flights("SELECT flight_id, CAST(outlier AS INTEGER) AS outlier FROM flights"))
+def iqr_outliers_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flag by a fence that does not read the history again."""
+    flagged = _delays_by_day(spark, sf_dir).flag(adapter.raw_flights(spark, sf_dir), "delayed")
+    return flagged.select("flight_id", "outlier")
+
+
 @query("iqr_outlier_flag", with_flights("SELECT flight_id, delayed, CAST(outlier AS INTEGER) AS outlier FROM flights"))
 def iqr_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     flagged = iqr_outlier_flag(adapter.raw_flights(spark, sf_dir), "delayed")

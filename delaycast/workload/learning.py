@@ -11,6 +11,7 @@ from delaycast.operators.metrics import best_trial, classifier_metrics, metric_g
 from delaycast.operators.outliers import iqr_outlier_flag
 from delaycast.operators.sizing import settle
 from delaycast.plans import model, proximal
+from delaycast.plans.dictionary import build_dictionary, encode_tokens
 from delaycast.plans.features import training_set
 from delaycast.plans.linear_model import LinearModel
 from delaycast.plans.registry import LatestModel, publish_model
@@ -128,10 +129,13 @@ def _vocabulary_sql(name: str) -> str:
   FROM training GROUP BY {name})"""
 
 
-@query("vocab_encode", f"""WITH training AS ({training_sql('f.flight_id,')}),
+_VOCAB_SQL = f"""WITH training AS ({training_sql('f.flight_id,')}),
 {', '.join(_vocabulary_sql(c) for c in CATEGORICAL_FEATURES)}
 SELECT t.flight_id, {', '.join(f'{c}_vocabulary.i AS {c}_index' for c in CATEGORICAL_FEATURES)}
-FROM training t {' '.join(f'JOIN {c}_vocabulary ON t.{c} = {c}_vocabulary.token' for c in CATEGORICAL_FEATURES)}""")
+FROM training t {' '.join(f'JOIN {c}_vocabulary ON t.{c} = {c}_vocabulary.token' for c in CATEGORICAL_FEATURES)}"""
+
+
+@query("vocab_encode", _VOCAB_SQL)
 def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     training = settle(_training(spark, sf_dir), "training-set").frame
     indexer: StringIndexer = model.encoding_stages()[0]
@@ -140,6 +144,15 @@ def vocab_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded.selectExpr("flight_id", *[f"CAST({c} AS DOUBLE) AS {c}" for c in model.INDEXED])
 
 
+@query("vocab_encode_distributed", _VOCAB_SQL)
+def vocab_encode_distributed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same numbers from dictionaries that never pass through the driver, joined by token."""
+    encoded = settle(_training(spark, sf_dir), "training-set").frame
+    for column in CATEGORICAL_FEATURES:
+        encoded = encode_tokens(encoded, column, build_dictionary(encoded, column), f"{column}_index")
+    return encoded.selectExpr("flight_id", *[f"CAST({c} AS DOUBLE) AS {c}" for c in model.INDEXED])
+
+
 # --- models ----------------------------------------------------------------------------------------
 
 _PENALTY = model.Penalty(4.0, 2.0)

@@ -13,11 +13,13 @@ from delaycast.plans.model import linear_probability, train_logistic
 from delaycast.plans.registry import LatestModel, publish_model
 from delaycast.schemas import FORECAST_FEED, MESSAGE_COLUMNS, MESSAGE_RECORD, WEATHER_COLUMNS
 from delaycast.session import scratch_path
+from delaycast.sinks.documents import write_batch
 from delaycast.sinks.keyed import KeyedDocuments
 from delaycast.sinks.topics import to_json_batches, to_json_rows, write_topic_files
 from delaycast.sources.feeds import flatten_forecasts
 from delaycast.sources.polling import read_snapshots
 from delaycast.sources.topics import read_topic_files
+from delaycast.streaming.dead_letters import DeadLetters
 from delaycast.streaming.enrich import enrich_schedule
 from delaycast.streaming.messages import message_rows
 from delaycast.streaming.pipelines import keyed_documents, scored_documents, start
@@ -156,3 +158,28 @@ def poll_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
         writer = forecasts.writeStream.format("parquet").option("checkpointLocation", f"{out}/checkpoint")
         writer.trigger(availableNow=True).start(f"{out}/rows").awaitTermination()
     return spark.read.schema(forecasts.schema).parquet(f"{out}/rows")
+
+
+@query("replay_rejects", """SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k,
+  CASE WHEN event_id % 23 = 0 THEN 'replay' ELSE 'stream' END AS delivered
+FROM events WHERE event_id % 29 <> 0""")
+def replay_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of which some break off: those are kept, mended and delivered once; some stay unreadable."""
+    props = "concat('{\"event_id\":', event_id, ',\"k\":', from_json(props, 'k int').k)"
+    cut = f"CASE WHEN event_id % 29 = 0 THEN '?' WHEN event_id % 23 = 0 THEN {props} ELSE concat({props}, '}}') END"
+    path, out = scratch_path(spark, "cut-messages"), scratch_path(spark, "replayed")
+    write_topic_files(adapter.table(spark, sf_dir, "events").selectExpr(f"{cut} AS value"), path)
+    record = T.StructType().add("event_id", T.LongType()).add("k", T.IntegerType())
+    letters = DeadLetters(spark, f"{out}/letters", record)
+
+    def delivery(kind: str):
+        return lambda messages, number: write_batch(message_rows(messages, record), number, f"{out}/{kind}")
+
+    start(read_topic_files(spark, path), letters.beside(delivery("stream")), f"{out}/checkpoint").awaitTermination()
+    for _ in range(2):  # the second finds nothing that it could mend
+        letters.replay(F.concat("value", F.lit("}")), delivery("replay"))
+    rows = [
+        spark.read.schema(record).parquet(f"{out}/{kind}/batch_id=*").selectExpr("*", f"'{kind}' AS delivered")
+        for kind in ("stream", "replay")
+    ]
+    return rows[0].unionByName(rows[1])
