@@ -3,15 +3,20 @@
 A URL's host and path are matched with listed rules of a host and a path: a rule fits its host and
 all subdomains if the path starts with the rule's, and the longest fitting rule decides. For all other
 URLs the verdict comes from combinations of URL tokens (scheme, domain parts, path segments, arguments,
-with numbers replaced). FP-growth mines them, together with the label, from labelled URLs: those that a
-listed rule decides carry its verdict, the others the label of their page (1 allows, 0 blocks). Rules
-that imply a verdict are pruned by support and confidence, and dropped if a part of their tokens
-implies the same as surely.
+with numbers replaced). FP-growth mines them, together with the label, from the URLs that no listed rule
+decides and whose page has a label (1 allows, 0 blocks). Rules that imply a verdict are pruned by support
+and confidence, and dropped if the rule without one of their tokens implies the same as surely. Support
+is a number of URLs, not a share, so that a host counts alike in a table of any size; combinations in
+fewer labelled URLs than that stay unmined, and URLs with no others are allowed.
 
-Rules match by an inverted index: each is filed under its rarest token, and looked up by the tokens of a
+Tokens that occur in the very same labelled URLs tell nothing apart, so they are mined as one item: a
+URL shape with many arguments is a single item and not all their combinations. An item is in a URL if
+any of its tokens is, which is what rules of every choice of one token an item would match.
+
+Rules match by an inverted index: each is filed under its rarest item, and looked up by the items of a
 URL's token set. URLs with equal token sets are looked up once, however many there are. Of the matching
-rules the one with the highest confidence decides, then support, then the smaller set in text order. A
-URL that none matches is allowed.
+rules the one with the highest confidence decides, then support, then the one of fewer items, then one
+that blocks. A URL that none matches is allowed.
 
 Everything is DataFrame and SQL functions. A null URL, or one without ``://``, has an empty host and
 path and no tokens, and is allowed. Rows with null or repeated ids and repeated rows are judged one by
@@ -50,10 +55,10 @@ LISTED = (
 
 
 class UrlParameters(NamedTuple):
-    """Listed rules, and the least ``support`` and ``confidence`` of mined ones."""
+    """Listed rules, and of mined ones the least ``support`` in labelled URLs and the least ``confidence``."""
 
     listed: tuple[UrlRule, ...] = LISTED
-    support: float = 0.01
+    support: int = 20
     confidence: float = 0.8
 
 
@@ -108,55 +113,75 @@ def judged_parts(df: DataFrame, parameters: UrlParameters, page_id: str, url: st
 
 
 def labelled_sets(parts: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``items``: tokens and label of every URL that a listed rule or a page label decides."""
+    """(tokens, decided) of every URL that no listed rule decides and whose page has a label."""
     known = labels.where(f"{label} IN (0, 1)").groupBy("doc_id").agg(F.max(label).alias("allowed"))
-    joined = parts.join(known, parts["page_id"] == known["doc_id"], "left")
-    decided = joined.selectExpr(
-        "tokens", f"coalesce('verdict=' || listed, CASE allowed WHEN 1 THEN '{ALLOW}' WHEN 0 THEN '{BLOCK}' END) AS decided"
+    free = parts.where("listed IS NULL AND size(tokens) > 0")
+    joined = free.join(known, free["page_id"] == known["doc_id"])
+    return joined.selectExpr("tokens", f"CASE allowed WHEN 1 THEN '{ALLOW}' ELSE '{BLOCK}' END AS decided")
+
+
+def token_items(labelled: DataFrame) -> DataFrame:
+    """(token, item): tokens that occur in the same rows share an item, the first of them in text order.
+
+    Token sets are counted first. Which sets a token is in is told by their number and two sums of
+    hashes, added up before rows meet, so no token gathers its rows.
+    """
+    sets = labelled.groupBy("tokens").agg(F.count("*").alias("n"))
+    spread = sets.selectExpr(
+        "explode(tokens) AS token", "n", "xxhash64(tokens) AS one", "xxhash64(tokens, 'again') AS other"
+    )
+    marks = spread.groupBy("token").agg(
+        F.sum("n").alias("n"), *[F.sum(F.col(c).cast("decimal(38,0)")).alias(c) for c in ("one", "other")]
     )
-    return decided.where("decided IS NOT NULL AND size(tokens) > 0").selectExpr("concat(tokens, array(decided)) AS items")
+    marks = settle(marks, "url_marks")
+    first = marks.groupBy("n", "one", "other").agg(F.min("token").alias("item"))
+    return marks.join(first, ["n", "one", "other"]).select("token", "item")
+
+
+def with_items(sets: DataFrame, items: DataFrame) -> DataFrame:
+    """Distinct rows of ``tokens`` with the ``items`` that they hold; tokens without an item are left out."""
+    spread = sets.selectExpr("tokens", "explode(tokens) AS token").join(items, "token")
+    return spread.groupBy("tokens").agg(F.array_sort(F.collect_set("item")).alias("items"))
 
 
-def mine_rules(items: DataFrame, parameters: UrlParameters) -> DataFrame:
-    """(tokens, verdict, confidence, support) of the rules that imply a verdict, without redundant ones."""
-    model = FPGrowth(itemsCol="items", minSupport=parameters.support, minConfidence=parameters.confidence).fit(items)
+def mine_rules(labelled: DataFrame, items: DataFrame, parameters: UrlParameters) -> DataFrame:
+    """(items, verdict, confidence, support) of the rules that imply a verdict, without redundant ones."""
+    sets = with_items(labelled.select("tokens").distinct(), items)
+    baskets = labelled.join(sets, "tokens").selectExpr("concat(items, array(decided)) AS items")
+    baskets = settle(baskets, "url_items")
+    least = (parameters.support - 0.5) / max(baskets.count(), parameters.support)
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=parameters.confidence).fit(baskets)
     verdicts = model.associationRules.where(F.col("consequent")[0].isin(ALLOW, BLOCK))
     rules = settle(
         verdicts.selectExpr(
-            "array_sort(antecedent) AS tokens", "substring_index(consequent[0], '=', -1) AS verdict", "confidence", "support"
+            "array_sort(antecedent) AS items", "substring_index(consequent[0], '=', -1) AS verdict", "confidence", "support"
         ),
         "url_rules",
     )
-    # A rule is redundant if a rule of fewer of its tokens has the same verdict and no less confidence.
-    by_token = rules.selectExpr("tokens", "verdict", "confidence", "explode(tokens) AS token")
-    shorter = by_token.selectExpr("tokens AS part", "verdict", "confidence AS sure", "token")
-    covered = (
-        by_token.join(shorter, ["token", "verdict"])
-        .where("size(part) < size(tokens) AND sure >= confidence")
-        .groupBy("tokens", "verdict", "part")
-        .agg(F.count("*").alias("shared"))
-        .where("shared = size(part)")
-        .select("tokens", "verdict")
-        .distinct()
+    # A rule without one of the items that has the same verdict and no less confidence makes it redundant.
+    shorter = rules.selectExpr("items", "verdict", "confidence", "explode(items) AS item").selectExpr(
+        "items", "verdict", "confidence", "array_remove(items, item) AS part"
     )
-    return rules.join(covered, ["tokens", "verdict"], "left_anti")
+    known = rules.selectExpr("items AS part", "verdict", "confidence AS sure")
+    covered = shorter.join(known, ["part", "verdict"]).where("sure >= confidence").select("items", "verdict").distinct()
+    return rules.join(covered, ["items", "verdict"], "left_anti")
 
 
 def match_rules(sets: DataFrame, rules: DataFrame) -> DataFrame:
-    """(tokens, mined): the verdict of the best rule for each token set that a rule matches."""
-    entries = rules.selectExpr("tokens AS needed", "verdict", "confidence", "support", "explode(tokens) AS token")
-    # Under the token that the fewest token sets have, so that a token of every URL files nothing else.
-    every = sets.selectExpr("tokens", "explode(tokens) AS token")
-    spread = every.groupBy("token").agg(F.count("*").alias("sets"))
+    """(tokens, mined): the verdict of the best rule for each of the token sets with items that a rule matches."""
+    entries = rules.selectExpr("items AS needed", "verdict", "confidence", "support", "explode(items) AS item")
+    # Under the item that the fewest token sets have, so that an item of every URL files nothing else.
+    every = sets.selectExpr("tokens", "items", "explode(items) AS item")
+    spread = every.groupBy("item").agg(F.count("*").alias("sets"))
     index = settle(
-        entries.join(spread, "token", "left")
+        entries.join(spread, "item", "left")
         .groupBy("needed", "verdict", "confidence", "support")
-        .agg(F.min(F.struct(F.coalesce("sets", F.lit(0)).alias("sets"), F.col("token"))).alias("rarest"))
-        .selectExpr("needed", "verdict", "confidence", "support", "rarest.token AS token"),
+        .agg(F.min(F.struct(F.coalesce("sets", F.lit(0)).alias("sets"), F.col("item"))).alias("rarest"))
+        .selectExpr("needed", "verdict", "confidence", "support", "rarest.item AS item"),
         "url_index",
     )
-    hits = every.join(index, "token").where("forall(needed, t -> array_contains(tokens, t))")
-    order = F.struct("confidence", "support", (-F.size("needed")).alias("size"), F.array_join("needed", " ").alias("text"))
+    hits = every.join(index, "item").where("forall(needed, t -> array_contains(items, t))")
+    order = F.struct("confidence", "support", (-F.size("needed")).alias("size"), "verdict")
     return hits.groupBy("tokens").agg(F.max_by("verdict", order).alias("mined"))
 
 
@@ -173,9 +198,11 @@ def judge_urls(
     ``labels`` has doc_id and ``label``.
     """
     parts = settle(judged_parts(df, parameters, page_id, url), "url_parts")
-    rules = mine_rules(settle(labelled_sets(parts, labels, label), "url_items"), parameters)
-    sets = settle(parts.where("listed IS NULL AND size(tokens) > 0").select("tokens").distinct(), "url_sets")
-    mined = settle(match_rules(sets, rules), "url_mined")
+    labelled = settle(labelled_sets(parts, labels, label), "url_labelled")
+    items = settle(token_items(labelled), "url_tokens")
+    rules = mine_rules(labelled, items, parameters)
+    sets = parts.where("listed IS NULL AND size(tokens) > 0").select("tokens").distinct()
+    mined = settle(match_rules(settle(with_items(sets, items), "url_sets"), rules), "url_mined")
     judged = parts.withColumn("looked_up", F.expr("CASE WHEN listed IS NULL THEN tokens END"))
     mined = mined.withColumnRenamed("tokens", "looked_up")
     return judged.join(mined, "looked_up", "left").selectExpr(
@@ -220,15 +247,14 @@ def oracle(parameters: UrlParameters) -> str:
     subsets AS (SELECT m.n, m.mask, string_agg(w.token, ' ' ORDER BY w.token) AS part, count(*) AS size
         FROM masks m JOIN numbered w ON m.n = w.n AND CAST(floor(m.mask / power(2, w.bit)) AS BIGINT) % 2 = 1 GROUP BY m.n, m.mask),
     known AS (SELECT doc_id, max(quality) AS allowed FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
-    decided AS (SELECT p.n, coalesce(f.verdict, CASE k.allowed WHEN 1 THEN 'allow' WHEN 0 THEN 'block' END) AS verdict
-        FROM parts p LEFT JOIN fits f ON p.n = f.n AND f.nth = 1 LEFT JOIN known k ON p.page_id = k.doc_id WHERE p.host <> ''),
+    decided AS (SELECT p.n, CASE k.allowed WHEN 1 THEN 'allow' ELSE 'block' END AS verdict
+        FROM parts p JOIN known k ON p.page_id = k.doc_id WHERE p.host <> '' AND p.n NOT IN (SELECT n FROM fits)),
     counted AS (SELECT s.part, s.size, d.verdict, count(*) AS hits,
         sum(count(*)) OVER (PARTITION BY s.part) AS total
-        FROM subsets s JOIN decided d ON s.n = d.n WHERE d.verdict IS NOT NULL GROUP BY s.part, s.size, d.verdict),
+        FROM subsets s JOIN decided d ON s.n = d.n GROUP BY s.part, s.size, d.verdict),
     rules AS (SELECT part, size, verdict, CAST(hits AS DOUBLE) / total AS confidence, hits FROM counted
-        WHERE hits >= ceil({parameters.support} * (SELECT count(*) FROM decided WHERE verdict IS NOT NULL))
-        AND CAST(hits AS DOUBLE) / total >= {parameters.confidence}),
-    best AS (SELECT s.n, r.verdict, row_number() OVER (PARTITION BY s.n ORDER BY r.confidence DESC, r.hits DESC, r.size, r.part DESC) AS nth
+        WHERE hits >= {parameters.support} AND CAST(hits AS DOUBLE) / total >= {parameters.confidence}),
+    best AS (SELECT s.n, r.verdict, row_number() OVER (PARTITION BY s.n ORDER BY r.confidence DESC, r.hits DESC, r.size, r.verdict DESC) AS nth
         FROM subsets s JOIN rules r ON s.part = r.part)
     SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.verdict, b.verdict, 'allow') AS verdict,
         CASE WHEN f.verdict IS NULL THEN b.verdict END AS mined
