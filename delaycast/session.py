@@ -35,11 +35,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the cluster's shared checkpoint folder.
 
     Written intermediates must outlive any executor, so they go where ``spark.checkpoint.dir``
-    points. Only a session that names no such folder (unit tests) gets a local one.
+    points. Only a local session that names no such folder (unit tests) gets a local one; on a
+    cluster that is an error, since other machines could not read it.
     """
     global _local_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
         _local_root = _local_root or tempfile.mkdtemp(prefix="delaycast-")
         root = _local_root
     return f"{root.rstrip('/')}/delaycast/{name}-{uuid.uuid4().hex}"

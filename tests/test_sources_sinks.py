@@ -1,4 +1,5 @@
 import json
+import pytest
 from pathlib import Path
 
 from pyspark.ml.feature import StringIndexer
@@ -167,3 +168,16 @@ def test_vocabulary_files(spark, folder):
     fitted = StringIndexer(inputCols=["airline_iata", "dep_desc"], outputCols=["a", "b"]).fit(df.union(df.limit(1)))
     write_vocabularies(fitted, spark, f"{folder}/copy")
     assert read_vocabulary(spark, f"{folder}/copy/airline_iata.txt") == ["5D", "6E", "unseen"]
+
+
+def test_a_cluster_needs_a_shared_scratch_folder():
+    from types import SimpleNamespace
+
+    from delaycast.session import scratch_path
+
+    conf = {}
+    session = SimpleNamespace(conf=SimpleNamespace(get=conf.get), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        scratch_path(session, "x")
+    conf["spark.checkpoint.dir"] = "hdfs://shared/"
+    assert scratch_path(session, "x").startswith("hdfs://shared/delaycast/x-")
