@@ -14,6 +14,18 @@ def _all_equal(pairs: list[tuple[str, str]], null_safe: bool = False) -> Column:
     return F.expr(" AND ".join(f"`{a}` {operator} `{b}`" for a, b in pairs))
 
 
+# Fact key columns of a join -> hash of a hot key (``key_hash``) -> into how many copies it is split.
+Splits = dict[tuple[str, ...], dict[int, int]]
+
+# Key types whose equal values have equal hashes.
+_HASHED = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "date", "timestamp", "timestamp_ntz", "binary"}
+
+
+def key_hash(columns: tuple[str, ...] | list[str]) -> str:
+    """SQL of the hash by which ``Splits`` name a key."""
+    return f"xxhash64({', '.join(f'`{c}`' for c in columns)})"
+
+
 # Copies of a dimension row in a stream's shuffle join, where hot keys cannot be counted beforehand.
 STREAM_COPIES = 16
 
@@ -24,14 +36,16 @@ def left_lookup(
     keys: list[tuple[str, str]],
     limit: int | None = None,
     profile: DataFrame | None = None,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """``facts LEFT JOIN dimension`` on ``keys`` (fact column, dimension column).
 
     The dimension's key columns are dropped from the result; its other columns must not clash
     with fact columns. A dimension within the broadcast bound is broadcast, so the facts are not
     shuffled at all. Beyond it both sides are shuffled and hot fact keys spread over several
-    tasks; ``profile`` names a cheaper frame with the same keys to find them on. A stream cannot
-    be counted first, so there every key is spread over a fixed number of tasks.
+    tasks; ``profile`` names a cheaper frame with the same keys to find them on, and ``splits`` says
+    which they are without counting. A stream cannot be counted first, so there every key is spread
+    over a fixed number of tasks.
     """
     side = sized(dimension)
     joined_keys = [f"__key_{i}" for i in range(len(keys))]
@@ -43,6 +57,8 @@ def left_lookup(
         joined = _salted_join(
             facts.withColumn("__copies", F.lit(STREAM_COPIES)), right.withColumn("__copies", F.lit(STREAM_COPIES)), pairs
         )
+    elif splits is not None and tuple(a for a, _ in keys) in splits and _same_hashes(facts, right, pairs):
+        joined = _split_join(facts, right, pairs, splits[tuple(a for a, _ in keys)])
     else:
         joined = _spread_join(facts, right, pairs, facts if profile is None else profile)
     return joined.drop(*joined_keys)
@@ -76,6 +92,23 @@ def _spread_join(
     return _salted_join(left.drop(*hot_names.values()), right.drop(*hot_names.values()), pairs)
 
 
+def _same_hashes(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> bool:
+    kinds = [(left.schema[a].dataType.simpleString(), right.schema[b].dataType.simpleString()) for a, b in pairs]
+    return all(a == b and a in _HASHED for a, b in kinds)
+
+
+def _split_join(facts: DataFrame, dimension: DataFrame, pairs: list[tuple[str, str]], copies: dict[int, int]) -> DataFrame:
+    """Shuffle join with the given copies by key hash, of which there are fewer than tasks."""
+    if not copies:
+        return facts.join(dimension, _all_equal(pairs), "left")
+    known = facts.sparkSession.createDataFrame(list(copies.items()), "__hash bigint, __copies int")
+
+    def marked(side: DataFrame, columns: list[str]) -> DataFrame:
+        return side.join(F.broadcast(known), F.expr(f"{key_hash(columns)} = __hash"), "left").drop("__hash")
+
+    return _salted_join(marked(facts, [a for a, _ in pairs]), marked(dimension, [b for _, b in pairs]), pairs)
+
+
 def _salted_join(left: DataFrame, right: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
     """Left join of sides that both name in ``__copies`` how often their key is split (NULL: not).
 

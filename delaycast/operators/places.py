@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaycast.operators.lookup import left_lookup
+from delaycast.operators.lookup import Splits, left_lookup
 from delaycast.operators.sizing import Sized, sized
 
 
@@ -16,6 +16,7 @@ def city_lookup(
     city: str,
     limit: int | None = None,
     profile: DataFrame | None = None,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """Add the airport's city under the name ``city``; an unknown code gives ``''``.
 
@@ -23,15 +24,17 @@ def city_lookup(
     """
     side = sized(airports)
     found = side.frame.selectExpr("icao", "city AS __city")
-    joined = left_lookup(flights, Sized(found, side.size), [(icao, "icao")], limit, profile)
+    joined = left_lookup(flights, Sized(found, side.size), [(icao, "icao")], limit, profile, splits)
     return joined.withColumn(city, F.expr("coalesce(__city, '')")).drop("__city")
 
 
-def both_cities(flights: DataFrame, airports: DataFrame | Sized, limit: int | None = None) -> DataFrame:
+def both_cities(
+    flights: DataFrame, airports: DataFrame | Sized, limit: int | None = None, splits: Splits | None = None
+) -> DataFrame:
     """``dep_city`` and ``arr_city`` from the one airport dimension."""
     side = sized(airports)
-    departed = city_lookup(flights, side, "dep_icao", "dep_city", limit)
-    return city_lookup(departed, side, "arr_icao", "arr_city", limit, profile=flights)
+    departed = city_lookup(flights, side, "dep_icao", "dep_city", limit, splits=splits)
+    return city_lookup(departed, side, "arr_icao", "arr_city", limit, profile=flights, splits=splits)
 
 
 def stacked_cities(flights: DataFrame, *carry: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaycast.operators.lookup import left_lookup
+from delaycast.operators.lookup import Splits, left_lookup
 from delaycast.operators.sizing import Sized, plan_bytes, settle_if_large, sized
 from delaycast.schemas import WEATHER_KEYS
 
@@ -50,6 +50,7 @@ def weather_join(
     dedupe: bool = False,
     limit: int | None = None,
     profile: DataFrame | None = None,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """Left join of weather in one role; its payload comes in prefixed with the role.
 
@@ -63,7 +64,7 @@ def weather_join(
     frame = frame.selectExpr(*WEATHER_KEYS, *[f"`{c}` AS `{role}_{c}`" for c in payload])
     # Two upper bounds: the table's own, and the plan's with only the chosen columns.
     size = min(side.size, plan_bytes(frame))
-    return left_lookup(flights, Sized(frame, size), role_keys(keys_of or role), limit, profile)
+    return left_lookup(flights, Sized(frame, size), role_keys(keys_of or role), limit, profile, splits)
 
 
 def dual_role_weather(
@@ -73,6 +74,7 @@ def dual_role_weather(
     compat: bool = False,
     dedupe: bool = False,
     limit: int | None = None,
+    splits: Splits | None = None,
 ) -> DataFrame:
     """Departure and arrival weather on each flight, from one weather table.
 
@@ -80,6 +82,6 @@ def dual_role_weather(
     sets made that way; the default uses the arrival keys, as serving does.
     """
     side = latest_only(weather, columns) if dedupe else sized(weather)
-    departed = weather_join(flights, side, DEPARTURE, columns, limit=limit)
+    departed = weather_join(flights, side, DEPARTURE, columns, limit=limit, splits=splits)
     keys_of = DEPARTURE if compat else ARRIVAL
-    return weather_join(departed, side, ARRIVAL, columns, keys_of, limit=limit, profile=flights)
+    return weather_join(departed, side, ARRIVAL, columns, keys_of, limit=limit, profile=flights, splits=splits)

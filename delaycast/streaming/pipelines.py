@@ -17,6 +17,7 @@ from delaycast.sinks.documents import write_batch
 from delaycast.sinks.keyed import KeyedDocuments
 from delaycast.sinks.topics import to_json_batches
 from delaycast.streaming.enrich import enrich_schedule
+from delaycast.streaming.hot_keys import HotKeys
 from delaycast.streaming.messages import message_counts, message_rows
 
 # Fixed value: how often the producer side publishes.
@@ -79,14 +80,25 @@ def publish_schedules(
     publish: Callable[[DataFrame], None],
     checkpoint: str,
     every: str | None = PUBLISH_EVERY,
+    hot: HotKeys | None = None,
 ) -> StreamingQuery:
     """The producer side: enrich each batch of schedules and publish it as array messages.
 
     The dimensions are opened anew for each batch, so it sees the newest weather. Delivery is at
-    least once: a batch that failed half-way is published again.
+    least once: a batch that failed half-way is published again. Dimensions too large to broadcast
+    are joined with the hot keys of each batch split, which ``hot`` (over ``ENRICH_KEYS``) carries from
+    batch to batch; without it every batch is counted first.
     """
 
     def deliver(batch: DataFrame, batch_id: int) -> None:
-        publish(to_json_batches(enrich_schedule(batch, airports(), weather())))
+        if hot is None:
+            publish(to_json_batches(enrich_schedule(batch, airports(), weather())))
+            return
+        sides = airports(), weather()
+        hot.deliver(
+            batch_id,
+            lambda splits: enrich_schedule(batch, *sides, splits=splits),
+            lambda enriched: publish(to_json_batches(enriched)),
+        )
 
     return start(schedules, deliver, checkpoint, every)

@@ -20,7 +20,8 @@ from delaycast.sources.feeds import flatten_forecasts
 from delaycast.sources.polling import read_snapshots
 from delaycast.sources.topics import read_topic_files
 from delaycast.streaming.dead_letters import DeadLetters
-from delaycast.streaming.enrich import enrich_schedule
+from delaycast.streaming.enrich import ENRICH_KEYS, enrich_schedule
+from delaycast.streaming.hot_keys import HotKeys
 from delaycast.streaming.messages import message_rows
 from delaycast.streaming.pipelines import keyed_documents, scored_documents, start
 from delaycast.workload import adapter
@@ -67,9 +68,12 @@ def stream_parse_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain(message_rows(messages, KEYED_MESSAGE), "parsed")
 
 
-@query("stream_enrich", joined("""f.flight_id, f.dep_city, f.arr_city, f.dep_time_utc_3hr, f.arr_time_utc_3hr,
+_ENRICHED = joined("""f.flight_id, f.dep_city, f.arr_city, f.dep_time_utc_3hr, f.arr_time_utc_3hr,
   d.weather_description AS dep_weather_description, d.main_temp AS dep_main_temp,
-  a.weather_description AS arr_weather_description, a.main_temp AS arr_main_temp"""))
+  a.weather_description AS arr_weather_description, a.main_temp AS arr_main_temp""")
+
+
+@query("stream_enrich", _ENRICHED)
 def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     schedules = message_rows(topic_of(adapter.schedule(spark, sf_dir), "schedules"), KEYED_RECORD)
     columns = ["weather_description", "main_temp"]
@@ -79,6 +83,31 @@ def stream_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain(enriched.select("flight_id", *added), "enriched")
 
 
+@query("stream_enrich_carried", _ENRICHED)
+def stream_enrich_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_enrich``, in several micro-batches, by shuffle joins whose hot keys earlier batches tell."""
+    path, out = scratch_path(spark, "schedules"), scratch_path(spark, "carried")
+    # Some files at any size, so that there are batches to carry something between.
+    write_topic_files(to_json_batches(adapter.schedule(spark, sf_dir).repartition(3)), path)
+    airports, weather = adapter.airports(spark, sf_dir), adapter.weather(spark, sf_dir)
+    columns = ["weather_description", "main_temp"]
+    hot = HotKeys(spark, f"{out}/summaries", ENRICH_KEYS)
+    added = [f"{role}_{c}" for role in ("dep", "arr") for c in ("city", "time_utc_3hr", *columns)]
+
+    def deliver(batch: DataFrame, batch_id: int) -> None:
+        schedules = message_rows(batch, KEYED_RECORD)
+        hot.deliver(
+            batch_id,
+            lambda splits: enrich_schedule(schedules, airports, weather, columns, limit=-1, splits=splits),
+            lambda enriched: write_batch(enriched.select("flight_id", *added), batch_id, f"{out}/rows"),
+        )
+
+    messages = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+    start(messages, deliver, f"{out}/checkpoint").awaitTermination()
+    rows = enrich_schedule(message_rows(spark.read.text(path), KEYED_RECORD), airports, weather, columns)
+    return spark.read.schema(rows.select("flight_id", *added).schema).parquet(f"{out}/rows/batch_id=*")
+
+
 @query("stream_score_linear", joined("""f.flight_id,
   round(1 / (1 + exp(-(-0.25e0 + -0.004e0 * coalesce(f.duration, 0) + 0.001e0
     * coalesce(CAST(hour(f.dep_time_utc) * 60 + minute(f.dep_time_utc) AS DOUBLE), 0)))), 9) AS delay_prob,
