@@ -97,6 +97,26 @@ def _link(aside: Path, name: Path, record: dict) -> bool:
     return True
 
 
+def swap_folder(spark: SparkSession, written: str, path: str) -> None:
+    """Put the complete folder ``written`` in the place of ``path``, whose old content goes last.
+
+    Between two renames ``path`` is missing for a moment. If the second fails, the old folder comes back.
+    """
+    jvm = spark.sparkContext._jvm
+    new, target = jvm.org.apache.hadoop.fs.Path(written), jvm.org.apache.hadoop.fs.Path(path)
+    old = jvm.org.apache.hadoop.fs.Path(f"{written}-old")
+    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    replaces = files.exists(target)
+    if replaces and not files.rename(target, old):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(new, target):
+        if replaces:
+            files.rename(old, target)
+        raise OSError(f"{written} cannot be moved to {path}")
+    if replaces:
+        files.delete(old, True)
+
+
 class Conflict(RuntimeError):
     """Another writer committed the version that this one was to follow."""
 

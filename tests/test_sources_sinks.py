@@ -119,6 +119,12 @@ def test_csv_is_typed_and_keeps_codes(spark, folder):
     write_csv(df, f"{folder}/out")
     write_csv(df, f"{folder}/out")
     assert tuples(read_csv(spark, f"{folder}/out", schema)) == tuples(df)
+    with pytest.raises(Exception, match="broken off"):
+        write_csv(df.selectExpr("CAST(raise_error('broken off') AS STRING) AS code"), f"{folder}/out")
+    yesterday = read_csv(spark, f"{folder}/out", schema)
+    assert tuples(yesterday) == tuples(df)
+    write_csv(yesterday.unionByName(df), f"{folder}/out")  # reads what it replaces
+    assert read_csv(spark, f"{folder}/out", schema).count() == 2 * df.count()
 
 
 def test_flight_table_reads_the_feeds_time_text(spark, folder):
