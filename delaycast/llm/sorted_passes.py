@@ -46,8 +46,8 @@ from delaycast.llm.components import components
 
 # Most bits that a pass adds at a time, and by how many they exceed log2(n / window).
 HASH_BITS, SPARE_BITS = 32, 2
-# Vectors in a block where all pairs are compared.
-COUNT_BLOCK = 1024
+# Vectors in a block where all pairs are compared, and in the smallest that a component is cut into.
+COUNT_BLOCK, LEAST_BLOCK = 1024, 64
 GROUP = ["label", "dim", "path"]
 
 
@@ -398,10 +398,16 @@ def _count_in_blocks(cosine: float) -> Callable:
 
 
 def link_counts(members: DataFrame, cosine: float) -> DataFrame:
-    """(id, n): vectors linked to each member (id, root, dim, copies, vector), all pairs of a component by blocks."""
+    """(id, n): vectors linked to each member (id, root, dim, copies, vector), all pairs of a component by blocks.
+
+    A block holds a partition's share of the members within the two bounds, so that one component's pairs of
+    blocks spread over the tasks however few vectors there are.
+    """
+    tasks = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    block = min(COUNT_BLOCK, max(LEAST_BLOCK, members.count() // tasks))
     sizes = members.groupBy("root", "dim").agg(F.count("*").alias("size")).where("size > 1")
     sizes = settle(sizes, "component_sizes")
-    placed = members.join(sizes, ["root", "dim"]).withColumn("blocks", F.expr(f"int(ceil(size / {COUNT_BLOCK}D))"))
+    placed = members.join(sizes, ["root", "dim"]).withColumn("blocks", F.expr(f"int(ceil(size / {block}D))"))
     placed = placed.withColumn("block", F.expr("int(pmod(xxhash64(id), blocks))"))
     met = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).selectExpr(
         "root", "dim", "least(block, other) AS first", "greatest(block, other) AS second",
