@@ -18,8 +18,13 @@ narrow that all their vectors must link stay as they are. Windows reach over the
 The chance assumes that vectors lie around the mean evenly. It is a model and no guarantee: pairs of a
 cluster can part on the bits that come before the cluster is a group of its own.
 
-Equal vectors are taken together first. Inside a window the links that are handed on form a spanning
-forest, so a dense group of m vectors hands on m links and not m * m. All links lie inside the
+Equal vectors are taken together first. The orders move no vectors but sketches of them: the signs of
+``SKETCH_BITS`` further projections through the label's mean, and the distance from it. From two distances
+follows the widest angle at the mean that vectors of a link can have, and from that how many bits differ at
+most; the limit lies five standard deviations above what the angle lets expect, so a link at the threshold is
+passed over in less than one of a million cases. What a window's near sketches connect is a group, of two windows
+at most. Equal groups of several passes are taken once, their vectors are fetched by id and compared exactly.
+The links that a group hands on form a spanning forest, so m vectors hand on m links and not m * m. All links lie inside the
 components that the passes unite; how many a vector has is then counted exactly within its component,
 in blocks, whether or not a pass had compared the two.
 
@@ -33,6 +38,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from hashlib import blake2b
 from typing import NamedTuple
 
 import numpy as np
@@ -46,6 +52,8 @@ from delaycast.llm.components import components
 
 # Most bits that a pass adds at a time, and by how many they exceed log2(n / window).
 HASH_BITS, SPARE_BITS = 32, 2
+# Bits of a sketch, and by how many standard deviations more than expected may differ.
+SKETCH_BITS, DEVIATIONS = 256, 5
 # Vectors in a block where all pairs are compared, and in the smallest that a component is cut into.
 COUNT_BLOCK, LEAST_BLOCK = 1024, 64
 GROUP = ["label", "dim", "path"]
@@ -80,17 +88,6 @@ def directions(rows: np.ndarray) -> np.ndarray:
     return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
 
 
-def passes_needed(n: int, spread: float, parameters: PassParameters) -> int:
-    """Passes after which a pair at the threshold is missed with chance ``miss``; ``spread`` is the mean
-    squared distance of the n directions from their mean."""
-    if n <= parameters.window:
-        return 1
-    turn = 1 - (1 - parameters.cosine) / max(spread, 1e-12)
-    agree = 1 - math.acos(min(1.0, max(0.0, turn))) / math.pi
-    meet = agree ** math.log2(n / parameters.window)
-    return max(1, math.ceil(math.log(parameters.miss) / math.log1p(-meet))) if meet < 1 - 1e-12 else 1
-
-
 def matrix(column: pa.Array) -> np.ndarray:
     """Rows of a list column of one length, in double precision."""
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
@@ -103,12 +100,10 @@ def linked(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
     return (a @ b.T) / norms >= cosine
 
 
-def window_forest(links: np.ndarray, known: int) -> list[tuple[int, int]]:
-    """Links of a spanning forest; ``links`` is square, and the first ``known`` were linked to each other before."""
-    size, out = len(links), []
-    left = np.ones(size, bool)
-    degree = links.sum(axis=1)
-    for start in np.flatnonzero(degree > 1):
+def link_forest(links: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of a square matrix."""
+    left, out = np.ones(len(links), bool), []
+    for start in np.flatnonzero(links.sum(axis=1) > 1):
         if not left[start]:
             continue
         left[start] = False
@@ -117,11 +112,59 @@ def window_forest(links: np.ndarray, known: int) -> list[tuple[int, int]]:
             at = queue.pop()
             found = np.flatnonzero(links[at] & left)
             left[found] = False
-            out += [(at, int(f)) for f in found if at >= known or f >= known]
+            out += [(at, int(f)) for f in found]
             queue += found.tolist()
     return out
 
 
+@lru_cache(maxsize=64)
+def sketch_projections(dimension: int, seed: int) -> np.ndarray:
+    """Random directions for the bits of a sketch, other ones than those of the passes."""
+    return np.random.default_rng([seed, dimension, 0, 0, SKETCH_BITS]).normal(size=(dimension, SKETCH_BITS))
+
+
+def sketches(centred: np.ndarray, seed: int) -> list[bytes]:
+    signs = (centred @ sketch_projections(centred.shape[1], seed)) > 0
+    return [row.tobytes() for row in np.packbits(signs, axis=1)]
+
+
+def bits_apart(a: np.ndarray, b: np.ndarray, cosine: float) -> np.ndarray:
+    """Most bits in which sketches at these distances from the mean differ if their vectors link."""
+    turn = (a * a + b * b - 2 * (1 - cosine)) / np.maximum(2 * a * b, 1e-30)
+    share = np.arccos(np.clip(turn, -1, 1)) / np.pi
+    mean = SKETCH_BITS * share
+    return np.where(share < 0.5, mean + DEVIATIONS * np.sqrt(mean * (1 - share) + 1), SKETCH_BITS)
+
+
+def near_sketches(words: np.ndarray, radii: np.ndarray, known: int, cosine: float) -> np.ndarray:
+    """Square matrix of the sketches that may belong to a link; the first ``known`` met each other before."""
+    apart = np.zeros((len(words) - known, len(words)), np.uint16)
+    for word in words.T:
+        apart += np.bitwise_count(word[known:, None] ^ word[None, :])
+    least = radii.min(keepdims=True)  # no distance allows more bits than the smallest
+    first, second = np.nonzero(apart <= bits_apart(least, least, cosine))
+    fits = apart[first, second] <= bits_apart(radii[first + known], radii[second], cosine)
+    near = np.zeros((len(words), len(words)), bool)
+    near[first[fits] + known, second[fits]] = True
+    np.fill_diagonal(near, False)
+    return near | near.T
+
+
+def sketch_groups(ids: np.ndarray, near: np.ndarray) -> Iterator[np.ndarray]:
+    """Sorted ids of every group of two or more that near sketches connect."""
+    left = near.any(axis=1)
+    while left.any():
+        group, found = np.zeros(len(near), bool), np.zeros(len(near), bool)
+        found[left.argmax()] = True
+        while found.any():
+            group |= found
+            found = near[found].any(axis=0) & ~group
+        left &= ~group
+        members = np.unique(ids[group])
+        if len(members) > 1:
+            yield members
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Consecutive rows with equal keys of a sorted stream, in pieces that end where a batch ends."""
     for batch in batches:
@@ -137,6 +180,20 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Ta
             yield batch.slice(a, b - a)
 
 
+def whole_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """All rows with equal keys of a sorted stream, as one batch."""
+    held, parts = None, []
+    for part in groups(batches, keys):
+        key = tuple(part.column(c)[0].as_py() for c in keys)
+        if key != held and parts:
+            yield pa.concat_batches(parts)
+            parts = []
+        held = key
+        parts.append(part)
+    if parts:
+        yield pa.concat_batches(parts)
+
+
 def group_means(rows: DataFrame) -> DataFrame:
     """(label, dim, path, n, centre): the mean direction of each group of rows, from all of them."""
 
@@ -161,29 +218,45 @@ def group_means(rows: DataFrame) -> DataFrame:
 
 
 def with_passes(means: DataFrame, level: int, parameters: PassParameters) -> DataFrame:
-    """Adds ``passes``; 0 where all pairs are to be compared."""
+    """Adds ``passes``, after which a pair at the threshold is missed with chance ``miss``; 0 where all pairs are to be compared.
 
-    @F.udf("int")
-    def passes(n: int, centre: list[float]) -> int:
-        needed = passes_needed(n, 1 - sum(x * x for x in centre), parameters)
-        if level:  # other passes have such runs, too; a quarter of them is taken to hold a pair together
-            needed, least = math.ceil(4 * needed / parameters.passes), 1
-        else:
-            least = parameters.passes if n > parameters.window else 1
-        return 0 if needed > least and needed * 2 * parameters.window >= n else max(least, needed)
-
-    bits = f"int(least({HASH_BITS}, {SPARE_BITS} + greatest(1, ceil(log2(n / {parameters.window}D)))))"
-    return means.withColumn("passes", passes("n", "centre")).withColumn("bits", F.expr(bits))
+    The spread is the mean squared distance of the group's directions from their mean.
+    """
+    window, least = parameters.window, parameters.passes
+    steps = {
+        "spread": "greatest(1 - aggregate(centre, 0D, (s, x) -> s + x * x), 1e-12)",
+        "agree": f"1 - acos(greatest(0D, least(1D, 1 - {1 - parameters.cosine!r}D / spread))) / pi()",
+        "meet": f"power(agree, log2(n / {window}D))",
+        "needed": f"CASE WHEN n <= {window} OR meet >= 1 - 1e-12 THEN 1L "
+        f"ELSE greatest(1L, ceil({math.log(parameters.miss)!r}D / log1p(-meet))) END",
+        "least": f"IF(n > {window}, {least}L, 1L)",
+    }
+    if level:  # other passes have such runs, too; a quarter of them is taken to hold a pair together
+        steps |= {"needed": f"({steps['needed']})", "least": "1L"}
+        steps["needed"] = f"ceil(4 * {steps['needed']} / {least}D)"
+    steps["passes"] = f"int(IF(needed > least AND needed * {2 * window} >= n, 0L, greatest(least, needed)))"
+    steps["bits"] = f"int(least({HASH_BITS}, {SPARE_BITS} + greatest(1, ceil(log2(n / {window}D)))))"
+    out = means
+    for name, step in steps.items():
+        out = out.withColumn(name, F.expr(step))
+    return out.select(*means.columns, "passes", "bits")
 
 
 def deal(rows: DataFrame, level: int, parameters: PassParameters) -> DataFrame:
-    """Rows (label, dim, path, id, vector, centre, passes, bits) once for each pass, which ``path`` goes on with."""
+    """Rows (label, dim, path, id, vector, centre, passes, bits) once for each pass, which ``path`` goes on with.
+
+    The first level adds sketch and radius, the distance from the label's mean; others hand them on.
+    """
+    kept = ["id", "vector", "sketch", "radius"]
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, ["dim"]):
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
                 centred = directions(matrix(part.column("vector"))) - matrix(part.column("centre"))
+                if not level:
+                    part = part.append_column("sketch", pa.array(sketches(centred, parameters.seed), pa.binary()))
+                    part = part.append_column("radius", pa.array(np.sqrt((centred * centred).sum(axis=1))))
                 passes = part.column("passes").to_numpy()
                 unused = HASH_BITS - part.column("bits").to_numpy().astype(np.int64)
                 for number in range(passes.max()):
@@ -193,16 +266,18 @@ def deal(rows: DataFrame, level: int, parameters: PassParameters) -> DataFrame:
                     taken, start = part.take(pa.array(some)), number.to_bytes(4)
                     paths = [p + start + h.to_bytes(HASH_BITS // 8) for p, h in zip(taken.column("path").to_pylist(), hashes, strict=True)]
                     columns = [taken.column("label"), taken.column("dim"), pa.array(paths, pa.binary())]
-                    yield pa.RecordBatch.from_arrays([*columns, taken.column("id"), taken.column("vector")], [*GROUP, "id", "vector"])
+                    yield pa.RecordBatch.from_arrays([*columns, *(taken.column(c) for c in kept)], [*GROUP, *kept])
 
     kinds = {c: rows.schema[c].dataType.simpleString() for c in ("label", "vector")}
-    return rows.select(*GROUP, "id", "vector", "centre", "passes", "bits").mapInArrow(
-        spread, f"label {kinds['label']}, dim int, path binary, id long, vector {kinds['vector']}"
+    known = kept if level else kept[:2]
+    return rows.select(*GROUP, *known, "centre", "passes", "bits").mapInArrow(
+        spread, f"label {kinds['label']}, dim int, path binary, id long, vector {kinds['vector']}, sketch binary, radius double"
     )
 
 
 def pass_orders(vectors: DataFrame, parameters: PassParameters) -> tuple[DataFrame, list[DataFrame]]:
-    """Vectors in the orders of the passes, by ``path``; and groups in which all pairs are to be compared."""
+    """Sketches in the orders of the passes, by ``path``; and groups of vectors in which all pairs are to be compared."""
+    ordered = [*GROUP, "id", "sketch", "radius"]
     rows = vectors.select("label", "dim", F.expr("X''").alias("path"), "id", "vector")
     means, level, done, whole = group_means(rows), 0, None, []
     while True:
@@ -213,13 +288,14 @@ def pass_orders(vectors: DataFrame, parameters: PassParameters) -> tuple[DataFra
         runs = dealt.groupBy(*GROUP).agg(F.count("*").alias("n")).where(f"n > {parameters.window}")
         runs = settle(runs.select(*GROUP), "tie_runs")
         if not runs.limit(1).count():
-            return dealt if done is None else done.unionByName(dealt), whole
+            last = dealt.select(*ordered)
+            return last if done is None else done.unionByName(last), whole
         tied = settle(dealt.join(runs, GROUP), "tied")
         # All directions of n stand within sqrt(n * spread) of their mean: below this bound all of them link.
         narrow = f"n * (1 - aggregate(centre, 0D, (s, x) -> s + x * x)) <= greatest({(1 - parameters.cosine) / 2!r}D, n * 1e-12D)"
         means = settle(group_means(tied).where(f"NOT ({narrow})"), "tie_means")
         rows, level = tied, level + 1
-        left = dealt.join(means.select(*GROUP), GROUP, "left_anti")
+        left = dealt.select(*ordered).join(means.select(*GROUP), GROUP, "left_anti")
         done = left if done is None else done.unionByName(left)
         rows = rows.join(means.select(*GROUP), GROUP, "left_semi")
 
@@ -228,21 +304,9 @@ def whole_links(rows: DataFrame, cosine: float) -> DataFrame:
     """(a, b): links that connect what links in each group (label, dim, path, n), all pairs by blocks."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, parts = None, []
-
-        def found() -> Iterator[pa.RecordBatch]:
-            if parts:
-                block = pa.Table.from_batches(parts).combine_chunks()
-                vectors = matrix(block.column("vector").chunk(0))
-                yield pairs(block.column("id").to_numpy(), window_forest(linked(vectors, vectors, cosine), 0))
-
-        for part in groups(batches, [*GROUP, "first", "second"]):
-            key = tuple(part.column(c)[0].as_py() for c in (*GROUP, "first", "second"))
-            if key != held:
-                yield from found()
-                held, parts = key, []
-            parts.append(part)
-        yield from found()
+        for block in whole_groups(batches, [*GROUP, "first", "second"]):
+            vectors = matrix(block.column("vector"))
+            yield pairs(block.column("id").to_numpy(), link_forest(linked(vectors, vectors, cosine)))
 
     placed = rows.withColumn("blocks", F.expr(f"int(ceil(n / {COUNT_BLOCK}D))"))
     placed = placed.withColumn("block", F.expr("int(pmod(xxhash64(id, vector), blocks))"))
@@ -258,8 +322,21 @@ def pairs(ids: np.ndarray, found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
 
-def border_links(compared: DataFrame, parameters: PassParameters) -> DataFrame:
-    """(a, b): links between the last window of a partition and the first of what follows it."""
+def words_of(column: pa.Array) -> np.ndarray:
+    """Sketches as rows of 64-bit words."""
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), -1)
+
+
+def group_rows(found: list[np.ndarray], label: pa.Scalar, dim: int) -> pa.RecordBatch:
+    """(label, dim, key, ids) of groups; equal groups have equal keys."""
+    keys = [blake2b(g.tobytes(), digest_size=16).digest() for g in found]
+    labels = pa.array([label.as_py()] * len(found), label.type)
+    columns = [labels, pa.array([dim] * len(found), pa.int32()), pa.array(keys, pa.binary()), pa.array(found, pa.list_(pa.int64()))]
+    return pa.RecordBatch.from_arrays(columns, ["label", "dim", "key", "ids"])
+
+
+def border_groups(compared: DataFrame, parameters: PassParameters) -> DataFrame:
+    """(label, dim, key, ids): groups from the last window of a partition and the first of what follows it."""
     ends = compared.where("tail").groupBy("part").agg(F.max("at").alias("at")).collect()  # one row a partition
     sizes = sorted((r["part"], r["at"] + 1) for r in ends)
     reach = []
@@ -272,62 +349,54 @@ def border_links(compared: DataFrame, parameters: PassParameters) -> DataFrame:
             offset += size
     reached = compared.sparkSession.createDataFrame(reach, "part int, offset long, border int")
     heads = compared.where("NOT tail").join(F.broadcast(reached), "part").where(f"at + offset < {parameters.window}")
-    columns = ["border", "label", "dim", "side", "a", "vector"]
+    columns = ["border", "label", "dim", "side", "id", "sketch", "radius"]
     both = heads.withColumn("side", F.lit(1)).select(*columns).unionByName(
         compared.where("tail").selectExpr("part AS border", "0 AS side", "*").select(*columns)
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, parts = None, []
-
-        def found() -> Iterator[pa.RecordBatch]:
-            if parts:
-                block = pa.Table.from_batches(parts).combine_chunks()
-                vectors, before = matrix(block.column("vector").chunk(0)), int((block.column("side").to_numpy() == 0).sum())
-                if 0 < before < len(vectors):
-                    yield pairs(block.column("a").to_numpy(), window_forest(linked(vectors, vectors, parameters.cosine), before))
-
-        for part in groups(batches, ["border", "label", "dim"]):
-            key = tuple(part.column(c)[0].as_py() for c in ("border", "label", "dim"))
-            if key != held:
-                yield from found()
-                held, parts = key, []
-            parts.append(part)
-        yield from found()
+        for block in whole_groups(batches, ["border", "label", "dim"]):
+            ids, words, radii = (block.column("id").to_numpy(), words_of(block.column("sketch")), block.column("radius").to_numpy())
+            before = int((block.column("side").to_numpy() == 0).sum())
+            if 0 < before < len(ids):
+                found = list(sketch_groups(ids, near_sketches(words, radii, before, parameters.cosine)))
+                yield group_rows(found, block.column("label")[0], block.column("dim")[0].as_py())
 
     order = ["border", "label", "dim", "side"]
-    return both.repartition("border").sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
+    label = compared.schema["label"].dataType.simpleString()
+    return both.repartition("border").sortWithinPartitions(*order).mapInArrow(
+        compare, f"label {label}, dim int, key binary, ids array<long>"
+    )
 
 
-def pass_links(vectors: DataFrame, parameters: PassParameters) -> DataFrame:
-    """(a, b): links that connect what the passes' windows link, of vectors (id, label, dim, vector)."""
+def window_groups(ordered: DataFrame, parameters: PassParameters) -> DataFrame:
+    """(label, dim, key, ids): the groups of all windows of the orders, each once, also over partitions' borders."""
     cosine, window = parameters.cosine, parameters.window
-    ordered, whole = pass_orders(vectors, parameters)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, known = None, 0
-        ids, rows = np.zeros(0, np.int64), np.zeros((0, 0))
+        ids, words, radii = np.zeros(0, np.int64), np.zeros((0, SKETCH_BITS // 64), np.uint64), np.zeros(0)
         number, at, tail = TaskContext.get().partitionId(), 0, []
-        names = ["a", "b", "part", "at", "tail", "label", "dim", "vector"]
+        names = ["label", "dim", "key", "ids", "part", "at", "tail", "id", "sketch", "radius"]
 
-        def links(final: bool) -> Iterator[pa.RecordBatch]:
-            nonlocal ids, rows, known
+        def met(final: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal ids, words, radii, known
             while len(ids) - known >= (1 if final else window):
                 size = min(len(ids), known + window)
-                found = pairs(ids, window_forest(linked(rows[:size], rows[:size], cosine), known))
-                kinds = [pa.int32(), pa.int64(), pa.bool_(), *(schema.field(n).type for n in names[5:])]
+                near = near_sketches(words[:size], radii[:size], known, cosine)
+                found = group_rows(list(sketch_groups(ids[:size], near)), *group)
+                kinds = [pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.binary(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([*found.columns, *(pa.nulls(found.num_rows, k) for k in kinds)], names)
-                ids, rows = ids[known:], rows[known:]
+                ids, words, radii = ids[known:], words[known:], radii[known:]
                 known = size - known
 
         def border(batch: pa.RecordBatch, first: int, last: bool) -> pa.RecordBatch:
             n = batch.num_rows
-            columns = [batch.column("id"), pa.nulls(n, pa.int64()), pa.array([number] * n, pa.int32())]
-            columns += [pa.array(range(first, first + n), pa.int64()), pa.array([last] * n)]
-            return pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in names[5:])], names)
+            columns = [batch.column("label"), batch.column("dim"), pa.nulls(n, pa.binary()), pa.nulls(n, pa.list_(pa.int64()))]
+            columns += [pa.array([number] * n, pa.int32()), pa.array(range(first, first + n), pa.int64()), pa.array([last] * n)]
+            return pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in names[7:])], names)
 
         for batch in batches:
-            schema = batch.schema
             if at < window:
                 yield border(batch.slice(0, window - at), at, False)
             at += batch.num_rows
@@ -335,31 +404,48 @@ def pass_links(vectors: DataFrame, parameters: PassParameters) -> DataFrame:
             while sum(b.num_rows for b in tail[1:]) >= window:
                 tail.pop(0)
             for part in groups([batch], ["label", "dim"]):
-                key = tuple(part.column(c)[0].as_py() for c in ("label", "dim"))
+                key = (part.column("label")[0], part.column("dim")[0].as_py())
                 if key != group:
-                    yield from links(True)
+                    yield from met(True)
                     group, known = key, 0
-                    ids, rows = np.zeros(0, np.int64), np.zeros((0, key[1]))
+                    ids, words, radii = ids[:0], words[:0], radii[:0]
                 ids = np.concatenate([ids, part.column("id").to_numpy()])
-                rows = np.concatenate([rows, matrix(part.column("vector"))])
-                yield from links(False)
-        yield from links(True)
+                words = np.concatenate([words, words_of(part.column("sketch"))])
+                radii = np.concatenate([radii, part.column("radius").to_numpy()])
+                yield from met(False)
+        yield from met(True)
         first = at - sum(b.num_rows for b in tail)
         for batch in tail:
             skipped = min(batch.num_rows, max(0, at - window - first))
             yield border(batch.slice(skipped), first + skipped, True)
             first += batch.num_rows
 
-    kind = vectors.schema["vector"].dataType.simpleString()
-    label = vectors.schema["label"].dataType.simpleString()
-    order = [*GROUP, "id"]
+    label = ordered.schema["label"].dataType.simpleString()
+    order, result = [*GROUP, "id"], ["label", "dim", "key", "ids"]
     compared = ordered.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
-        compare, f"a long, b long, part int, at long, tail boolean, label {label}, dim int, vector {kind}"
+        compare,
+        f"label {label}, dim int, key binary, ids array<long>, part int, at long, tail boolean, id long, sketch binary, radius double",
     )
     compared = settle(compared, "compared")
-    found = compared.where("part IS NULL").select("a", "b").unionByName(border_links(compared, parameters))
+    found = compared.where("part IS NULL").select(*result).unionByName(border_groups(compared, parameters))
+    return found.groupBy(*result[:3]).agg(F.first("ids").alias("ids"))
+
+
+def pass_links(vectors: DataFrame, parameters: PassParameters) -> DataFrame:
+    """(a, b): links that connect what the passes' windows link, of vectors (id, label, dim, vector)."""
+    ordered, whole = pass_orders(vectors, parameters)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in whole_groups(batches, ["label", "dim", "key"]):
+            rows = matrix(block.column("vector"))
+            yield pairs(block.column("id").to_numpy(), link_forest(linked(rows, rows, parameters.cosine)))
+
+    members = window_groups(ordered, parameters).select("label", "dim", "key", F.explode("ids").alias("id"))
+    fetched = members.join(vectors.select("label", "dim", "id", "vector"), ["label", "dim", "id"])
+    order = ["label", "dim", "key"]
+    found = fetched.repartition(*order).sortWithinPartitions(*order).mapInArrow(compare, "a long, b long")
     for rows in whole:
-        found = found.unionByName(whole_links(rows, cosine))
+        found = found.unionByName(whole_links(rows, parameters.cosine))
     return found
 
 

@@ -84,8 +84,9 @@ def test_windows_reach_over_borders(spark):
     """One order of many partitions links all that stand within a window of each other."""
     rows = [(i, [math.cos(i / 50), math.sin(i / 50)], 1) for i in range(150)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr(
-        "0 AS label", "2 AS dim", "cast(lpad(vec_id, 5, '0') as binary) AS path", "vec_id AS id", "embedding AS vector"
-    )
+        "0 AS label", "2 AS dim", "cast(lpad(vec_id, 5, '0') as binary) AS path", "vec_id AS id", "embedding AS vector",
+        "unhex(repeat('00', 32)) AS sketch", "0D AS radius"
+    )
     before = sp.pass_orders
     sp.pass_orders = lambda vectors, parameters: (df.repartitionByRange(60, "path"), [])
     try:
