@@ -28,6 +28,9 @@ The links that a group hands on form a spanning forest, so m vectors hand on m l
 components that the passes unite; how many a vector has is then counted exactly within its component,
 in blocks, whether or not a pass had compared the two.
 
+Rows are told the result of their vector by 128 bits of hashes of it, so vectors move no further time. Two of
+n different vectors of a label share them with a chance of about n * n / 2^129.
+
 Vectors link only within a label and a dimension. Rows with a null label or id, and vectors that are
 null, empty, zero or hold null or non-finite components, link with nothing. Repeated rows count as
 further vectors; vectors that share an id share a component. Columns beside the three are not looked at.
@@ -57,6 +60,8 @@ SKETCH_BITS, DEVIATIONS = 256, 5
 # Vectors in a block where all pairs are compared, and in the smallest that a component is cut into.
 COUNT_BLOCK, LEAST_BLOCK = 1024, 64
 GROUP = ["label", "dim", "path"]
+# Two hashes of a vector with different seeds.
+VECTOR_KEYS = ["key_a", "key_b"]
 
 
 class PassParameters(NamedTuple):
@@ -524,19 +529,21 @@ def near_vectors(
     usable = f"id IS NOT NULL AND label IS NOT NULL AND vector IS NOT NULL AND {finite} AND exists(vector, x -> x <> 0)"
     rows = rows.withColumn("usable", F.coalesce(F.expr(usable), F.lit(False)))
     distinct = rows.where("usable").groupBy("label", "vector").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    distinct = settle(distinct.selectExpr("id", "label", "size(vector) AS dim", "copies", "vector"), "vectors")
+    vector_keys = [F.expr("xxhash64(vector)").alias(VECTOR_KEYS[0]), F.expr("xxhash64(1, vector)").alias(VECTOR_KEYS[1])]
+    distinct = settle(distinct.select("id", "label", F.expr("size(vector) AS dim"), "copies", "vector", *vector_keys), "vectors")
     roots = components(pass_links(distinct, parameters), "vectors")
     members = settle(
         distinct.join(roots.selectExpr("node AS id", "root"), "id").select("id", "root", "dim", "copies", "vector"), "members"
     )
     counts = link_counts(members, parameters.cosine)
-    known = distinct.select("id", "label", "vector", "copies").join(counts, "id", "left").join(
+    known = distinct.select("id", "label", "copies", *VECTOR_KEYS).join(counts, "id", "left").join(
         roots.selectExpr("node AS id", "root"), "id", "left"
     )
     known = settle(
-        known.selectExpr("label", "vector", "coalesce(root, id) AS root", "coalesce(n, 0L) + copies - 1 AS links"), "linked"
+        known.selectExpr("label", *VECTOR_KEYS, "coalesce(root, id) AS root", "coalesce(n, 0L) + copies - 1 AS links"), "linked"
     )
-    placed = rows.where("usable").join(known, ["label", "vector"]).selectExpr("id", "links", "root")
+    told = rows.where("usable").select("id", "label", *vector_keys)
+    placed = told.join(known, ["label", *VECTOR_KEYS]).selectExpr("id", "links", "root")
     single = rows.where("NOT usable").selectExpr("id", "0L AS links", "id AS root")
     return placed.unionByName(single).selectExpr(
         "id AS vec_id", "links AS n_links", "root AS component_id", "id <=> root AS kept"
