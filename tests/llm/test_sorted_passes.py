@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 
 import __spark_entry__ as contract
 from delaycast.llm import sorted_passes as sp
@@ -80,6 +81,34 @@ def test_similar_label_and_tie_runs(spark):
     assert sum(found[i] == expected[i] for i in linked) >= 0.99 * len(linked)
 
 
+def test_sketches_keep_links_and_tell_others_apart():
+    """Pairs at the threshold stay within the limit wherever the mean lies; vectors far apart do not."""
+    chance = np.random.default_rng(9)
+    for dimension, away in ((16, 0.0), (64, 0.6), (64, 0.9), (256, 0.97)):
+        mean = chance.normal(size=dimension)
+        mean *= away / np.linalg.norm(mean)
+        first = chance.normal(size=(500, dimension))
+        first = sp.directions(mean + math.sqrt(1 - away * away) * sp.directions(first))
+        across = chance.normal(size=first.shape)
+        across = sp.directions(across - (across * first).sum(axis=1, keepdims=True) * first)
+        second = first * 0.98 + across * math.sqrt(1 - 0.98**2)
+        centred = np.concatenate([first, second]) - mean
+        words = sp.words_of(pa.array(sp.sketches(centred, 20), pa.binary()))
+        near = sp.near_sketches(words, np.sqrt((centred * centred).sum(axis=1)), 0, 0.98)
+        assert near[np.arange(500), np.arange(500, 1000)].all()
+        assert (near == near.T).all() and not near.diagonal().any()
+        if away < 0.9:
+            assert near.sum() < 2 * 500 * 1.2
+
+
+def test_groups_of_near_sketches():
+    near = np.zeros((7, 7), bool)
+    for a, b in ((0, 3), (3, 5), (1, 6), (2, 4)):
+        near[a, b] = near[b, a] = True
+    ids = np.array([9, 4, 7, 2, 7, 5, 1])  # 2 and 4 are rows of one id
+    assert [g.tolist() for g in sp.sketch_groups(ids, near)] == [[2, 5, 9], [1, 4]]
+
+
 def test_windows_reach_over_borders(spark):
     """One order of many partitions links all that stand within a window of each other."""
     rows = [(i, [math.cos(i / 50), math.sin(i / 50)], 1) for i in range(150)]
